@@ -1,0 +1,29 @@
+"""Shared scratch space for intermediate tables."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+_local: dict[str, str] = {}
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path for an intermediate table, in a folder that every executor can reach.
+
+    The folder is the session's ``spark.checkpoint.dir``.  Only where that is unset (a single-machine
+    run, tests) a temporary folder is made, once per application.  The path is removed when the
+    application ends.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        app = spark.sparkContext.applicationId
+        root = _local.setdefault(app, "") or tempfile.mkdtemp(prefix="hitlake-")
+        _local[app] = root
+    path = f"{root.rstrip('/')}/hitlake-{label}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
