@@ -16,7 +16,6 @@ from hitlake.operators.enrich import enrich, list_lookup
 from hitlake.plans.lake import business_join, hits_on, not_loaded, refresh, register, write_hits
 from hitlake.plans.ledger import mark_done, pending, read_ledger
 from hitlake.plans.load import load
-from hitlake.scratch import scratch_path
 from hitlake.sources.bundle import as_lookup, extract_lines, parse_lines
 from hitlake.sources.hits import drop_empty, read_hits, read_hits_spread, with_date
 from hitlake.sources.landing import (
@@ -28,6 +27,7 @@ from hitlake.sources.landing import (
     list_landing,
     removable,
 )
+from hitlake.storage import scratch_path, write_bytes
 from hitlake.streaming.ingest import ingest
 
 # ---------------------------------------------------------------------------------------------------
@@ -74,14 +74,6 @@ def _daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_date(events, "ts").drop("ts")
 
 
-def _put(spark: SparkSession, path: str, content: bytes) -> None:
-    """Write one small file to whatever file system the path names."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
-    out.write(bytearray(content))
-    out.close()
-
-
 def _archive(member: str, lines: list[str]) -> bytes:
     body = "\n".join(lines).encode()
     packed = io.BytesIO()
@@ -111,7 +103,7 @@ def _feed(spark: SparkSession, sf_dir: str) -> str:
         # The table of nations is small by definition: 25 rows at every scale.
         nations = _nations(spark, sf_dir).collect()
         lines = [f"{row['id']}\t{row['name']}" for row in nations]
-        _put(spark, f"{path}/suite_20240101-000000-lookup_data.tar.gz", _archive("nation.tsv", lines))
+        write_bytes(spark, f"{path}/suite_20240101-000000-lookup_data.tar.gz", _archive("nation.tsv", lines))
 
     return _once(spark, sf_dir, "feed", make)
 
@@ -132,14 +124,14 @@ def _lake(spark: SparkSession, sf_dir: str) -> str:
 
 def _names(spark: SparkSession, sf_dir: str, extras: bool = False) -> DataFrame:
     """A listing as the feed would leave it: one file per hour and, with ``extras``, bundle and manifest per day."""
-    ts = F.col("ts")
-    day, hour = F.date_format(ts, "yyyyMMdd"), F.date_format(ts, "HH")
+    # One row per hour ('yyyy-MM-dd HH') goes on; the paths of an hour follow from it.
+    hours = _table(spark, sf_dir, "events").select(F.substring(F.col("ts").cast("string"), 1, 13).alias("h")).distinct()
+    date, hour = F.substring("h", 1, 10), F.substring("h", 12, 2)
+    day = F.replace(date, F.lit("-"), F.lit(""))
     paths = [F.concat(F.lit("incoming/01-suite_"), day, F.lit("-"), hour, F.lit("0000.tsv.gz"))]
     if extras:
         paths.append(F.concat(F.lit("incoming/suite_"), day, F.lit("-000000-lookup_data.tar.gz")))
-        paths.append(F.concat(F.lit("incoming/suite_"), F.date_format(ts, "yyyy-MM-dd"), F.lit(".txt")))
-    # One row per hour goes on; the paths of an hour follow from it.
-    hours = _table(spark, sf_dir, "events").select(F.date_trunc("hour", ts).alias("ts")).distinct()
+        paths.append(F.concat(F.lit("incoming/suite_"), date, F.lit(".txt")))
     listing = hours.select(F.explode(F.array(*paths)).alias("path")).distinct()
     return classify(listing.withColumn("length", F.lit(0).cast("bigint")))
 

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import reduce
+from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,12 +62,15 @@ def not_unique(label: str) -> ValueError:
 def _hot_keys(hits: DataFrame, key: str, tasks: int) -> DataFrame | None:
     """Keys above the hot threshold with the number of tasks to spread each over.
 
-    There are at most ``tasks / _HOT_FACTOR`` of them, so the driver can hold them.
+    One pass over the key column, counting before the shuffle.
     """
-    total = hits.count()
-    counts = hits.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("n"))
-    hot = counts.where(F.col("n") * tasks > total * _HOT_FACTOR)
-    rows = hot.select("_hot", F.ceil(F.col("n") * tasks / total).cast("int").alias("_salts")).collect()
+    total = Observation()
+    keys = hits.select(F.col(key).alias("_hot")).observe(total, F.count(F.lit(1)).alias("n"))
+    counts = keys.groupBy("_hot").agg(F.count(F.lit(1)).alias("n"))
+    # No more than this many keys can each be above the threshold.
+    top = counts.orderBy(F.desc("n")).limit(max(1, tasks // _HOT_FACTOR)).collect()
+    share = total.get.get("n", 0) / tasks
+    rows = [(row["_hot"], ceil(row["n"] / share)) for row in top if row["n"] > share * _HOT_FACTOR]
     if not rows:
         return None
     schema = T.StructType([T.StructField("_hot", hits.schema[key].dataType), T.StructField("_salts", T.IntegerType())])
@@ -97,8 +101,9 @@ def spread_join(
     id: str,
     tasks: int | None = None,
     keys: DataFrame | None = None,
+    how: str = "left",
 ) -> DataFrame:
-    """Left outer join by shuffle, with hot keys of ``hits`` spread over tasks.
+    """Left (outer or anti) join by shuffle, with hot keys of ``hits`` spread over tasks.
 
     Hot keys are found by counting ``key`` in ``keys``, a cheaper frame with the same key values, or
     else in ``hits``.
@@ -107,18 +112,18 @@ def spread_join(
         tasks = int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = _hot_keys(hits if keys is None else keys, key, tasks)
     if hot is None:
-        return hits.join(lookup, F.col(key) == F.col(id), "left")
+        return hits.join(lookup, F.col(key) == F.col(id), how)
     # ``hot`` has at most tasks / _HOT_FACTOR rows, so it is safe to broadcast.
     marked = hits.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot")), "left").drop("_hot")
     left = marked.withColumn("_salt", _salt(hits, F.coalesce("_salts", F.lit(1)))).drop("_salts")
     repeats = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
     right = (
-        lookup.join(F.broadcast(hot), F.col(id) == F.col("_hot"), "left")
+        lookup.join(F.broadcast(hot), F.col(id).eqNullSafe(F.col("_hot")), "left")
         .withColumn("_meet", F.explode(repeats))
         .drop("_hot", "_salts")
     )
     same = (F.col(key) == F.col(id)) & (F.col("_salt") == F.col("_meet"))
-    return left.join(right, same, "left").drop("_salt", "_meet")
+    return left.join(right, same, how).drop("_salt", "_meet")
 
 
 def join_lookup(

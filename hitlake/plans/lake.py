@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hitlake.operators.lookup_join import spread_join
+from hitlake.storage import exists
+
 
 def write_hits(hits: DataFrame, target: str, files: int | None = None, clustered: bool = False) -> None:
     """Append hits to the lake at ``target``.
@@ -78,16 +81,19 @@ def not_loaded(hits: DataFrame, target: str, keys: Sequence[str]) -> DataFrame:
     """Hits whose ``keys`` the lake does not hold on the same date yet; NULL equals NULL.
 
     Only the dates that the hits touch are read from the lake, and only the keys.  The hits are read
-    twice: once for their dates.
+    more than once: also for their dates, and for keys that very many of them share.
     """
     spark = hits.sparkSession
+    if not exists(spark, target):
+        return hits
     # One row per calendar day in the batch.
     touched = [row["date"] for row in hits.select("date").distinct().collect()]
-    lake = spark.read.parquet(target)
-    there = F.col("date").isin([d for d in touched if d is not None])
+    there = F.col("date").isin([day for day in touched if day is not None])
     if None in touched:
         there = there | F.col("date").isNull()
     columns = ["date", *keys]
-    seen = lake.where(there).select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(columns)]).distinct()
-    same = [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(columns)]
-    return hits.join(seen, same, "left_anti")
+    # As a struct, a key with NULL parts equals another with the same ones.
+    key = F.struct(*[F.col(c).cast(hits.schema[c].dataType).alias(c) for c in columns])
+    lake = spark.read.schema(hits.select(*columns).schema).parquet(target)
+    seen = lake.where(there).select(key.alias("_seen")).distinct()
+    return spread_join(hits.withColumn("_key", key), seen, "_key", "_seen", how="left_anti").drop("_key")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hitlake.storage import exists
+
 LEDGER_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -18,12 +19,9 @@ LEDGER_SCHEMA = T.StructType(
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
     """The ledger at a path; empty when nothing was ever marked."""
-    try:
+    if exists(spark, ledger):
         return spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
 def pending(files: DataFrame, ledger: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from math import ceil
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,7 +92,7 @@ def load(
             raw = read_hits_spread(spark, [literal_path(row["path"]) for row in page], tasks, schema)
             hits = with_date(drop_empty(raw), timestamp)
             if dedupe_on:
-                hits = _without_loaded(hits, target, dedupe_on)
+                hits = not_loaded(hits, target, dedupe_on)
             read, written = Observation(), Observation()
             rows = F.count(F.lit(1)).alias("n")
             enriched = enrich(hits.observe(read, rows), lookups, roles, unique, sizes=sizes).observe(written, rows)
@@ -116,11 +115,3 @@ def load(
                 frame.unpersist()
     return LoadReport(n_files, n_read, n_written)
 
-
-def _without_loaded(hits: DataFrame, target: str, keys: Sequence[str]) -> DataFrame:
-    try:
-        return not_loaded(hits, target, keys)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return hits

@@ -24,7 +24,8 @@ FEED_NAMES = FeedNames()
 def list_landing(spark: SparkSession, root: str) -> DataFrame:
     """Every file below ``root``: ``path``, ``length``, ``modificationTime``.
 
-    File contents are never opened: Spark prunes the ``content`` column from the scan.
+    File contents are never opened: Spark prunes the ``content`` column from the scan.  It skips files
+    of no bytes, which hold no hits (a gzipped file is never empty).
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     return files.select("path", "length", "modificationTime")
