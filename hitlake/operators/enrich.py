@@ -6,7 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from hitlake.functions.keys import lookup_key
 from hitlake.functions.lists import name_or_item, resolve_items, split_list
 from hitlake.operators.lookup_join import BROADCAST_BYTES, join_lookup, measure, not_unique
 from hitlake.sources.schema import DEFAULT_ROLES
@@ -28,7 +30,8 @@ def enrich(
 
     The column becomes ``<column>_id`` in its place; the name found comes last, as ``<column>``, in role
     order.  Every lookup is ``id``, ``name`` and may serve several roles.  An id that a lookup repeats
-    multiplies hits; ``unique`` makes that an error.  ``sizes`` takes an earlier result of
+    multiplies hits; ``unique`` makes that an error.  For a narrow result, select the columns needed
+    first: wide hits are carried through the joins as one value.  ``sizes`` takes an earlier result of
     :func:`measure` for the same lookups.
     """
     roles = list(roles)
@@ -47,23 +50,24 @@ def enrich(
         if unique and not sizes[table][1]:
             raise not_unique(table)
 
+    types = {field.name: field.dataType for field in hits.schema}
+    typed = [
+        lookup_key(F.col(key), types[key], lookups[table].schema["id"].dataType).alias(f"_k{i}")
+        for i, (table, key) in enumerate(roles)
+    ]
+    kept = [F.col(c).alias(f"{c}_id" if c in keys else c) for c in columns]
     packed = len(columns) > _PACK_WIDTH
     if packed:
-        row = F.struct(*[F.col(c) for c in columns]).alias("_row")
-        frame = hits.select(row, *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+        frame = hits.select(F.struct(*kept).alias("_row"), *typed)
     else:
-        frame = hits.select(*columns, *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+        frame = hits.select(*kept, *typed)
     for i, (table, _) in enumerate(roles):
         small = sizes[table][0] <= broadcast_bytes
         # Hot keys are counted on the hits alone, not on the joins so far.
-        counted = hits.select(F.col(keys[i]).alias(f"_k{i}"))
-        frame = join_lookup(frame, lookups[table], f"_k{i}", f"_n{i}", small, tasks, counted).drop(f"_k{i}")
-
-    def source(column: str):
-        return F.col("_row")[column] if packed else F.col(column)
-
-    kept = [source(c).alias(f"{c}_id" if c in keys else c) for c in columns]
-    return frame.select(*kept, *[F.col(f"_n{i}").alias(key) for i, key in enumerate(keys)])
+        counted = None if small else hits.select(typed[i])
+        frame = join_lookup(frame, lookups[table], f"_k{i}", f"_n{i}", small, tasks, counted)
+    row = [F.inline(F.array("_row"))] if packed else [f"{c}_id" if c in keys else c for c in columns]
+    return frame.select(*row, *[F.col(f"_n{i}").alias(key) for i, key in enumerate(keys)])
 
 
 def list_lookup(
@@ -94,7 +98,8 @@ def list_lookup(
 
     lists = hits.select(F.col(column).alias("id")).where("id IS NOT NULL").distinct()
     items = lists.select("id", F.posexplode(split_list("id")).alias("pos", "item"))
-    named = join_lookup(items, lookup, "item", "found", n_bytes <= broadcast_bytes, tasks)
+    keyed = items.withColumn("key", lookup_key(F.col("item"), T.StringType(), lookup.schema["id"].dataType))
+    named = join_lookup(keyed, lookup, "key", "found", n_bytes <= broadcast_bytes, tasks)
     entry = F.struct("pos", name_or_item(F.col("found"), F.col("item")).alias("name"))
     in_order = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["name"])
     resolved = named.groupBy("id").agg(in_order.alias("name"))

@@ -16,8 +16,6 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hitlake.functions.keys import lookup_key
-
 BROADCAST_BYTES = 64 << 20
 
 # Rough cost of one row in a broadcast hash table, beyond its values.
@@ -137,16 +135,12 @@ def join_lookup(
 ) -> DataFrame:
     """Left outer join of ``hits`` with ``lookup(id, name)``; adds the found name as column ``name``.
 
-    ``small`` says that the lookup's size was measured to be within the broadcast bound.  Misses keep
-    their row with a NULL name; an id that occurs twice gives two rows.
+    ``key`` has the type of the lookup's id already, see :func:`lookup_key`.  ``small`` says that the
+    lookup's size was measured to be within the broadcast bound.  Misses keep their row with a NULL name;
+    an id that occurs twice gives two rows.  The matched id stays as ``<name>_match``.
     """
-    id_type, key_type = lookup.schema["id"].dataType, hits.schema[key].dataType
-    as_key = lookup_key(F.col(key), key_type, id_type).alias("_key")
-    keyed = hits.select("*", as_key)
-    side = lookup.select(F.col("id").alias("_id"), F.col("name").alias(name))
+    match = f"{name}_match"
+    side = lookup.select(F.col("id").alias(match), F.col("name").alias(name))
     if small:
-        joined = keyed.join(F.broadcast(side), F.col("_key") == F.col("_id"), "left")
-    else:
-        counted = None if keys is None else keys.select(as_key)
-        joined = spread_join(keyed, side, "_key", "_id", tasks, counted)
-    return joined.drop("_key", "_id")
+        return hits.join(F.broadcast(side), F.col(key) == F.col(match), "left")
+    return spread_join(hits, side, key, match, tasks, keys)
