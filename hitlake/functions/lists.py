@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from hitlake.functions.keys import try_integer
+
 
 def split_list(column: str | Column) -> Column:
     """``'100,101'`` as an array of its items; NULL stays NULL."""
@@ -25,4 +27,4 @@ def resolve_items(items: Column, names: Mapping[int, str]) -> Column:
     mapping = F.map_from_arrays(
         F.array(*[F.lit(k).cast("bigint") for k in names]), F.array(*[F.lit(v) for v in names.values()])
     )
-    return F.transform(items, lambda item: name_or_item(mapping[item.try_cast("bigint")], item))
+    return F.transform(items, lambda item: name_or_item(mapping[try_integer(item)], item))

@@ -73,6 +73,9 @@ def load(
     the cluster busy rather than running one day's few files after another.  Lookups come from the newest
     bundle unless given.  A crash between a write and its ledger entry makes the next run append that
     page again, unless ``dedupe_on`` names columns that identify a hit.  One load may run at a time.
+
+    A day is parsed and written by one task per ``task_bytes`` of its compressed files, or by ``files``
+    tasks; so many files at most are written per day of the feed and date touched.
     """
     schema = hit_schema() if schema is None else schema
     landing = classify(list_landing(spark, source), names).persist()
@@ -88,8 +91,12 @@ def load(
         # Counts taken before a shuffle can include rows of tasks that were run again.
         countable = all(n_bytes <= BROADCAST_BYTES for n_bytes, _ in sizes.values())
         for page in file_pages(closed_files(todo, include_open), page_size):
-            tasks = files or max(1, ceil(sum(row["length"] for row in page) / task_bytes))
-            raw = read_hits_spread(spark, [literal_path(row["path"]) for row in page], tasks, schema)
+            sizes_by_day: dict[str, int] = {}
+            for row in page:
+                sizes_by_day[row["feed_date"]] = sizes_by_day.get(row["feed_date"], 0) + row["length"]
+            tasks = {day: files or max(1, ceil(n_bytes / task_bytes)) for day, n_bytes in sizes_by_day.items()}
+            paths = [literal_path(row["path"]) for row in page]
+            raw = read_hits_spread(spark, paths, tasks, schema, names.day_pattern)
             hits = with_date(drop_empty(raw), timestamp)
             if dedupe_on:
                 hits = not_loaded(hits, target, dedupe_on)

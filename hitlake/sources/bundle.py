@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hitlake.functions.keys import try_integer
+
 _BATCH_LINES = 8192
 
 
@@ -55,7 +57,7 @@ def parse_lines(lines: DataFrame, line: str = "line", lenient: bool = False) ->
     """
     fields = F.split(F.col(line), "\t")
     parsed = lines.withColumn("_f", fields).where(F.size("_f") == 2)
-    number = F.col("_f")[0].try_cast("bigint")
+    number = try_integer(F.col("_f")[0])
     if not lenient:
         problem = F.concat(F.lit("lookup id is not an integer: "), F.col("_f")[0])
         number = F.coalesce(number, F.raise_error(problem).cast("bigint"))

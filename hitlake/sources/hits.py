@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hitlake.sources.landing import FEED_NAMES
 from hitlake.sources.schema import hit_schema
 
 # The feed's delimiter, quote and encoding.
@@ -51,15 +52,51 @@ def parse_hits(lines: DataFrame, schema: T.StructType | None = None) -> DataFram
     return filled.select(F.inline(F.array(F.from_csv("value", ddl, options))))
 
 
+def spread_lines(lines: DataFrame, tasks: int) -> DataFrame:
+    """Deal lines out to ``tasks`` tasks.
+
+    A line's number in its file decides, so a lost task deals the same way again, and copies of one line
+    do not meet in one task.  ``lines`` must come straight from a file scan.
+    """
+    slot = F.pmod(F.monotonically_increasing_id(), F.lit(tasks)).cast("int")
+    return lines.withColumn("_slot", slot).repartitionById(tasks, "_slot").drop("_slot")
+
+
+def _spread_by_day(lines: DataFrame, tasks: Mapping[str, int], day_pattern: str) -> DataFrame:
+    first, slots = 0, []
+    for day, n in sorted(tasks.items()):
+        slots.append((day, first, n))
+        first += n
+    # One row per day of the batch: small by construction.
+    days = F.broadcast(lines.sparkSession.createDataFrame(slots, "_day string, _first int, _n int"))
+    numbered = lines.select(
+        "value",
+        F.monotonically_increasing_id().alias("_number"),
+        F.regexp_extract("_metadata.file_path", day_pattern, 1).alias("_day"),
+    )
+    slot = F.col("_first") + F.pmod(F.col("_number"), F.col("_n")).cast("int")
+    dealt = numbered.join(days, "_day", "left").select("value", slot.alias("_slot"))
+    return dealt.repartitionById(first, "_slot").drop("_slot")
+
+
 def read_hits_spread(
-    spark: SparkSession, paths: Sequence[str], tasks: int, schema: T.StructType | None = None
+    spark: SparkSession,
+    paths: Sequence[str],
+    tasks: int | Mapping[str, int],
+    schema: T.StructType | None = None,
+    day_pattern: str = FEED_NAMES.day_pattern,
 ) -> DataFrame:
     """Scan hit files for a full load: parse in ``tasks`` tasks rather than one per gzipped file.
 
+    ``tasks`` can be given per feed day, as the file name tells it.  A task then holds one day's lines,
+    and many days can be loaded at once without each task writing a little of every day.
+
     Raw lines are much smaller than parsed rows of hundreds of mostly empty columns, so the lines are
     what is shuffled; decompression alone stays with the file's task.
     """
-    return parse_hits(spark.read.text(list(paths)).repartition(tasks), schema)
+    lines = spark.read.text(list(paths))
+    spread = spread_lines(lines, tasks) if isinstance(tasks, int) else _spread_by_day(lines, tasks, day_pattern)
+    return parse_hits(spread, schema)
 
 
 def drop_empty(hits: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

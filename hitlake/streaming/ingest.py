@@ -12,7 +12,7 @@ from hitlake.operators.enrich import enrich
 from hitlake.operators.lookup_join import measure
 from hitlake.plans.lake import write_hits
 from hitlake.plans.ledger import mark_done, read_ledger
-from hitlake.sources.hits import drop_empty, parse_hits, with_date
+from hitlake.sources.hits import drop_empty, parse_hits, spread_lines, with_date
 from hitlake.sources.schema import DEFAULT_ROLES, hit_schema
 
 
@@ -53,7 +53,7 @@ def ingest(
         mark = str(batch)
         if not read_ledger(session, written).where(f"path = '{mark}'").isEmpty():
             return
-        spread = lines.repartition(tasks) if tasks else lines
+        spread = spread_lines(lines, tasks) if tasks else lines
         hits = with_date(drop_empty(parse_hits(spread, schema)), timestamp)
         write_hits(enrich(hits, lookups, roles, sizes=sizes), target, clustered=bool(tasks))
         mark_done(session.createDataFrame([(mark, None)], "path string, feed_date string").coalesce(1), written)

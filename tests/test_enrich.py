@@ -22,7 +22,7 @@ def test_columns_and_misses(spark):
 
 
 def test_string_keys_under_both_ansi_modes(spark):
-    keys = ["google.com", " 2 ", "2", "1,2", "", None, "99999999999999999999"]
+    keys = ["google.com", " 2 ", "2", "1,2", "", None, "99999999999999999999", "2.0", "\t2", "+2"]
     hits = spark.createDataFrame([(k,) for k in keys], "ref_domain string")
     before = spark.conf.get("spark.sql.ansi.enabled")
     try:
@@ -30,7 +30,7 @@ def test_string_keys_under_both_ansi_modes(spark):
             spark.conf.set("spark.sql.ansi.enabled", ansi)
             out = enrich(hits, {"referrer_type": lookup(spark, (2, "two"))}, [("referrer_type", "ref_domain")])
             assert {r["ref_domain_id"]: r["ref_domain"] for r in out.collect()} == {
-                k: "two" if k in (" 2 ", "2") else None for k in keys
+                k: "two" if k in (" 2 ", "2", "\t2", "+2") else None for k in keys
             }
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)

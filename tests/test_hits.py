@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from conftest import rows, write_gz
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitlake.sources.hits import drop_empty, literal_path, read_hits, read_hits_spread, with_date
@@ -98,3 +99,21 @@ def test_listed_paths_are_literal(spark, tmp_path):
     write_gz(odd, ["odd\t\t\t\t"])
     write_gz(other, ["other\t\t\t\t"])
     assert [r["a"] for r in read_hits_spread(spark, [literal_path(str(odd))], 1, SCHEMA).collect()] == ["odd"]
+
+
+def test_days_go_to_their_own_tasks(spark, tmp_path):
+    sizes = {"20240101": 300, "20240102": 10}
+    paths = []
+    for day, n in sizes.items():
+        paths.append(tmp_path / f"01-suite_{day}-000000.tsv.gz")
+        # Copies of one line: they still part over the tasks.
+        write_gz(paths[-1], [f"{day}\t1\t1\t\t"] * n)
+    hits = read_hits_spread(spark, [str(p) for p in paths], {"20240101": 3, "20240102": 1}, SCHEMA)
+    found = hits.groupBy("a", F.spark_partition_id().alias("task")).count()
+    assert rows(found) == [("20240101", 0, 100), ("20240101", 1, 100), ("20240101", 2, 100), ("20240102", 3, 10)]
+
+
+def test_file_of_an_unknown_day_is_still_read(spark, tmp_path):
+    write_gz(tmp_path / "01-suite_20240109-000000.tsv.gz", ["x\t1\t1\t\t"])
+    hits = read_hits_spread(spark, [str(tmp_path)], {"20240101": 2}, SCHEMA)
+    assert rows(hits) == [("x", 1, 1, None, None)]
