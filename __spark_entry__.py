@@ -27,6 +27,7 @@ from hitlake.sources.landing import (
     list_landing,
     removable,
 )
+from hitlake.sources.schema import DEFAULT_ROLES, hit_schema
 from hitlake.storage import scratch_path, write_bytes
 from hitlake.streaming.ingest import ingest
 
@@ -48,6 +49,17 @@ FEED_SCHEMA = T.StructType(
     ]
 )
 
+# Text of each lookup key of the standard feed, drawn from `events`; in SQL and Spark alike.
+_TEXT_KEYS = {
+    "plugins": "CASE WHEN event_type = 'click' THEN '1,2' ELSE CAST(user_id % 30 AS {text}) END",
+    "ref_domain": "CASE WHEN event_type = 'view' THEN 'site.example' ELSE CAST(event_id % 40 AS {text}) END",
+}
+
+
+def _standard_key(at: int, column: str, text: str) -> str:
+    return _TEXT_KEYS.get(column, f"(user_id + {at}) % 30").format(text=text)
+
+
 _made: dict[tuple[str, str, str], str] = {}
 
 
@@ -74,13 +86,14 @@ def _daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_date(events, "ts").drop("ts")
 
 
-def _archive(member: str, lines: list[str]) -> bytes:
-    body = "\n".join(lines).encode()
+def _archive(members: dict[str, list[str]]) -> bytes:
     packed = io.BytesIO()
     with tarfile.open(fileobj=packed, mode="w:gz") as archive:
-        info = tarfile.TarInfo(member)
-        info.size = len(body)
-        archive.addfile(info, io.BytesIO(body))
+        for name, lines in members.items():
+            body = "\n".join(lines).encode()
+            info = tarfile.TarInfo(name)
+            info.size = len(body)
+            archive.addfile(info, io.BytesIO(body))
     return packed.getvalue()
 
 
@@ -100,14 +113,37 @@ def _feed(spark: SparkSession, sf_dir: str) -> str:
         )
         writer = feed.hint("rebalance", F.col("feed_day")).write.partitionBy("feed_day")
         writer.options(sep="\t", compression="gzip").csv(path)
-        # The table of nations is small by definition: 25 rows at every scale.
-        nations = _nations(spark, sf_dir).collect()
-        lines = [f"{row['id']}\t{row['name']}" for row in nations]
-        write_bytes(spark, f"{path}/suite_20240101-000000-lookup_data.tar.gz", _archive("nation.tsv", lines))
+        bundle = _nation_bundle(spark, sf_dir, ["nation"])
+        write_bytes(spark, f"{path}/suite_20240101-000000-lookup_data.tar.gz", bundle)
 
     return _once(spark, sf_dir, "feed", make)
 
 
+def _nation_bundle(spark: SparkSession, sf_dir: str, tables: Iterable[str]) -> bytes:
+    """A lookup bundle in which each table holds `nation`, which has 25 rows at every scale."""
+    nations = _nations(spark, sf_dir).collect()
+    lines = [f"{row['id']}\t{row['name']}" for row in nations]
+    return _archive({f"{table}.tsv": lines for table in tables})
+
+
+def _standard_feed(spark: SparkSession, sf_dir: str) -> str:
+    """`events` as the standard feed of 680 columns, with all of its lookups."""
+
+    def make(path: str) -> None:
+        keys = {key: _standard_key(at, key, "STRING") for at, (_, key) in enumerate(DEFAULT_ROLES)}
+        given = {"hitid_low": "event_id", "pagename": "event_type", "date_time": "ts", **keys}
+        columns = [f"{given.get(name, repr(''))} AS {name}" for name in hit_schema().names]
+        events = _table(spark, sf_dir, "events").withColumn("_day", F.date_format("ts", "yyyyMMdd"))
+        # Shuffle the few source columns, not the wide rows.
+        feed = events.hint("rebalance", F.col("_day")).selectExpr(*columns, "_day AS feed_day")
+        writer = feed.write.partitionBy("feed_day").options(sep="\t", compression="gzip", emptyValue="")
+        writer.csv(path)
+        bundle = _nation_bundle(spark, sf_dir, {table for table, _ in DEFAULT_ROLES})
+        write_bytes(spark, f"{path}/suite_20240101-000000-lookup_data.tar.gz", bundle)
+
+    return _once(spark, sf_dir, "standard-feed", make)
+
+
 def _lake(spark: SparkSession, sf_dir: str) -> str:
     """`events` as a lake, registered as a table; returns the table's name."""
 
@@ -186,7 +222,7 @@ def lookup_bundle_scan(spark, sf_dir):
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            content = _archive("part.tsv", batch.column("line").to_pylist())
+            content = _archive({"part.tsv": batch.column("line").to_pylist()})
             yield pa.RecordBatch.from_pydict({"content": pa.array([content], pa.binary())})
 
     line = F.concat_ws("\t", F.col("p_partkey").cast("string"), F.col("p_name")).alias("line")
@@ -321,6 +357,15 @@ def daily_load(spark, sf_dir):
     return spark.read.parquet(target).select("event_id", "event_type", "value", "nation_id", "nation", "date")
 
 
+def standard_load(spark, sf_dir):
+    """The whole daily load at the feed's full width, with its twelve lookup roles."""
+    target, ledger = scratch_path(spark, "standard-load"), scratch_path(spark, "standard-ledger")
+    load(spark, _standard_feed(spark, sf_dir), target, ledger, names=EXPORT_NAMES, include_open=True)
+    keys = [key for _, key in DEFAULT_ROLES]
+    ids = [f"{k}_id" if k in _TEXT_KEYS else F.col(f"{k}_id").cast("bigint").alias(f"{k}_id") for k in keys]
+    return spark.read.parquet(target).select("hitid_low", "pagename", "date", *ids, *keys)
+
+
 def stream_ingest(spark, sf_dir):
     target, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-checkpoint")
     lookups = {"nation": _nations(spark, sf_dir)}
@@ -372,6 +417,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "business_join": business_join_query,
         "replay_dedupe": replay_dedupe,
         "daily_load": daily_load,
+        "standard_load": standard_load,
         "stream_ingest": stream_ingest,
     }
 
@@ -395,6 +441,16 @@ _LISTS = """SELECT k, string_agg(coalesce(n_name, tok), ',' ORDER BY pos) AS nam
   LEFT JOIN nation ON TRY_CAST(tok AS BIGINT) = n_nationkey GROUP BY k"""
 
 
+def _standard_sql() -> str:
+    keys = [key for _, key in DEFAULT_ROLES]
+    ids = [f"{_standard_key(at, key, 'VARCHAR')} AS {key}_id" for at, key in enumerate(keys)]
+    joins = [f"LEFT JOIN nation n{at} ON TRY_CAST({key}_id AS BIGINT) = n{at}.n_nationkey" for at, key in enumerate(keys)]
+    found = [f"{key}_id, n{at}.n_name AS {key}" for at, key in enumerate(keys)]
+    return f"""SELECT hitid_low, pagename, date, {', '.join(found)}
+        FROM (SELECT CAST(event_id AS VARCHAR) AS hitid_low, event_type AS pagename, CAST(ts AS DATE) AS date,
+                     {', '.join(ids)} FROM events) e {' '.join(joins)}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "landing_listing": "SELECT DISTINCT strftime(ts, '%Y%m%d') AS feed_date FROM events",
@@ -456,6 +512,7 @@ def oracle_sql() -> dict[str, str]:
               CAST(ts AS DATE) AS date
             FROM events LEFT JOIN nation ON user_id % 30 = n_nationkey
             WHERE CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM events)""",
+        "standard_load": _standard_sql(),
         "stream_ingest": """SELECT event_id, user_id % 30 AS nation_id, n_name AS nation, CAST(ts AS DATE) AS date
             FROM events LEFT JOIN nation ON user_id % 30 = n_nationkey""",
     }

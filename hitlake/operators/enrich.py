@@ -17,6 +17,10 @@ from hitlake.sources.schema import DEFAULT_ROLES
 _PACK_WIDTH = 100
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def enrich(
     hits: DataFrame,
     lookups: Mapping[str, DataFrame],
@@ -55,18 +59,20 @@ def enrich(
         lookup_key(F.col(key), types[key], lookups[table].schema["id"].dataType).alias(f"_k{i}")
         for i, (table, key) in enumerate(roles)
     ]
-    kept = [F.col(c).alias(f"{c}_id" if c in keys else c) for c in columns]
+    after = {c: f"{c}_id" if c in keys else c for c in columns}
+    # One text expression: building hundreds of column objects takes seconds.
+    kept = [f"{_quoted(c)} AS {_quoted(name)}" for c, name in after.items()]
     packed = len(columns) > _PACK_WIDTH
     if packed:
-        frame = hits.select(F.struct(*kept).alias("_row"), *typed)
+        frame = hits.select(F.expr(f"struct({', '.join(kept)})").alias("_row"), *typed)
     else:
-        frame = hits.select(*kept, *typed)
+        frame = hits.select(*[F.expr(text) for text in kept], *typed)
     for i, (table, _) in enumerate(roles):
         small = sizes[table][0] <= broadcast_bytes
         # Hot keys are counted on the hits alone, not on the joins so far.
         counted = None if small else hits.select(typed[i])
         frame = join_lookup(frame, lookups[table], f"_k{i}", f"_n{i}", small, tasks, counted)
-    row = [F.inline(F.array("_row"))] if packed else [f"{c}_id" if c in keys else c for c in columns]
+    row = [F.inline(F.array("_row"))] if packed else [_quoted(name) for name in after.values()]
     return frame.select(*row, *[F.col(f"_n{i}").alias(key) for i, key in enumerate(keys)])
 
 
