@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +23,12 @@ def try_integer(column: Column, kind: T.DataType | None = None) -> Column:
     return F.when(column.rlike(_INTEGER), column.try_cast(kind or T.LongType()))
 
 
+def constant_map(names: Mapping[int, str]) -> Column:
+    """A short id-to-name table as one constant, which the optimizer computes once."""
+    entries = json.dumps([{"id": key, "name": name} for key, name in names.items()])
+    return F.map_from_entries(F.from_json(F.lit(entries), "array<struct<id: bigint, name: string>>"))
+
+
 def lookup_key(column: Column, key_type: T.DataType, id_type: T.DataType) -> Column:
     """A hit column as a lookup key.
 

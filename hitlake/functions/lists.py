@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hitlake.functions.keys import try_integer
+from hitlake.functions.keys import constant_map, try_integer
 
 
 def split_list(column: str | Column) -> Column:
@@ -24,7 +24,5 @@ def resolve_items(items: Column, names: Mapping[int, str]) -> Column:
     """Replace each item of an array by its name, from a small constant map, inside the row."""
     if not names:
         return items
-    mapping = F.map_from_arrays(
-        F.array(*[F.lit(k).cast("bigint") for k in names]), F.array(*[F.lit(v) for v in names.values()])
-    )
+    mapping = constant_map(names)
     return F.transform(items, lambda item: name_or_item(mapping[try_integer(item)], item))

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hitlake.functions.keys import lookup_key
+from hitlake.functions.keys import constant_map, lookup_key
 from hitlake.functions.lists import name_or_item, resolve_items, split_list
-from hitlake.operators.lookup_join import BROADCAST_BYTES, join_lookup, measure, not_unique
+from hitlake.operators.lookup_join import BROADCAST_BYTES, INLINE_ROWS, Lookup, join_lookup, prepare
 from hitlake.sources.schema import DEFAULT_ROLES
 
 # Above this width, joins carry the hit as one struct rather than copying it column by column.
@@ -23,20 +23,21 @@ def _quoted(name: str) -> str:
 
 def enrich(
     hits: DataFrame,
-    lookups: Mapping[str, DataFrame],
+    lookups: Mapping[str, DataFrame | Lookup],
     roles: Sequence[tuple[str, str]] = DEFAULT_ROLES,
     unique: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
     tasks: int | None = None,
-    sizes: Mapping[str, tuple[int, bool | None]] | None = None,
 ) -> DataFrame:
     """Join each ``(lookup, column)`` role in turn.
 
     The column becomes ``<column>_id`` in its place; the name found comes last, as ``<column>``, in role
     order.  Every lookup is ``id``, ``name`` and may serve several roles.  An id that a lookup repeats
-    multiplies hits; ``unique`` makes that an error.  For a narrow result, select the columns needed
-    first: wide hits are carried through the joins as one value.  ``sizes`` takes an earlier result of
-    :func:`measure` for the same lookups.
+    multiplies hits; ``unique`` makes that an error.  Lookups from :func:`prepare` are not measured again.
+
+    For a narrow result, select the columns needed first: wide hits are carried through the joins as one
+    value, and short lookups with unique ids are resolved in the row, as copying a wide row costs more
+    than the lookup.
     """
     roles = list(roles)
     keys = [key for _, key in roles]
@@ -48,31 +49,36 @@ def enrich(
         raise ValueError(f"no such hit columns: {missing}")
     if not roles:
         return hits
-    if sizes is None:
-        sizes = measure({table: lookups[table] for table, _ in roles}, ids=unique)
-    for table, _ in roles:
-        if unique and not sizes[table][1]:
-            raise not_unique(table)
+    packed = len(columns) > _PACK_WIDTH
+    tables = {table: lookups[table] for table, _ in roles}
+    raw = {table: lookup for table, lookup in tables.items() if not isinstance(lookup, Lookup)}
+    if raw:
+        tables |= prepare(raw, unique, INLINE_ROWS if packed else 0)
 
     types = {field.name: field.dataType for field in hits.schema}
-    typed = [
-        lookup_key(F.col(key), types[key], lookups[table].schema["id"].dataType).alias(f"_k{i}")
-        for i, (table, key) in enumerate(roles)
-    ]
     after = {c: f"{c}_id" if c in keys else c for c in columns}
-    # One text expression: building hundreds of column objects takes seconds.
+    # Text expressions: building hundreds of column objects takes seconds.
     kept = [f"{_quoted(c)} AS {_quoted(name)}" for c, name in after.items()]
-    packed = len(columns) > _PACK_WIDTH
+    found, joins = [], []
+    for i, (table, key) in enumerate(roles):
+        lookup = tables[table]
+        typed = lookup_key(F.col(key), types[key], lookup.frame.schema["id"].dataType)
+        small = lookup.n_bytes <= broadcast_bytes
+        if packed and small and lookup.names is not None:
+            found.append(constant_map(lookup.names)[typed.cast("bigint")].alias(f"_n{i}"))
+        else:
+            found.append(typed.alias(f"_k{i}"))
+            # Hot keys are counted on the hits alone, not on the joins so far.
+            counted = None if small else hits.select(typed.alias(f"_k{i}"))
+            joins.append((lookup.frame, f"_k{i}", f"_n{i}", small, tasks, counted))
     if packed:
-        frame = hits.select(F.expr(f"struct({', '.join(kept)})").alias("_row"), *typed)
+        frame = hits.select(F.expr(f"struct({', '.join(kept)})").alias("_row"), *found)
+        row = [F.inline(F.array("_row"))]
     else:
-        frame = hits.select(*[F.expr(text) for text in kept], *typed)
-    for i, (table, _) in enumerate(roles):
-        small = sizes[table][0] <= broadcast_bytes
-        # Hot keys are counted on the hits alone, not on the joins so far.
-        counted = None if small else hits.select(typed[i])
-        frame = join_lookup(frame, lookups[table], f"_k{i}", f"_n{i}", small, tasks, counted)
-    row = [F.inline(F.array("_row"))] if packed else [_quoted(name) for name in after.values()]
+        frame = hits.select(*[F.expr(text) for text in kept], *found)
+        row = [_quoted(name) for name in after.values()]
+    for join in joins:
+        frame = join_lookup(frame, *join)
     return frame.select(*row, *[F.col(f"_n{i}").alias(key) for i, key in enumerate(keys)])
 
 
@@ -93,22 +99,19 @@ def list_lookup(
     lookup; hits are never exploded, and a group is never more than the items of one list.
     """
     columns = hits.columns
-    n_bytes, is_unique = measure({"list": lookup}, ids=True)["list"]
-    if not is_unique:
-        raise not_unique(column)
-    head = lookup.where("id IS NOT NULL").limit(inline_rows + 1).collect() if n_bytes <= broadcast_bytes else []
+    ready = prepare({column: lookup}, unique=True, inline_rows=inline_rows)[column]
     renamed = [F.col(c).alias(f"{c}_id" if c == column else c) for c in columns]
-    if n_bytes <= broadcast_bytes and len(head) <= inline_rows:
-        items = resolve_items(split_list(column), {r["id"]: r["name"] for r in head if r["name"] is not None})
-        return hits.select(*renamed, items.alias(column))
+    small = ready.n_bytes <= broadcast_bytes
+    if small and ready.names is not None:
+        return hits.select(*renamed, resolve_items(split_list(column), ready.names).alias(column))
 
     lists = hits.select(F.col(column).alias("id")).where("id IS NOT NULL").distinct()
     items = lists.select("id", F.posexplode(split_list("id")).alias("pos", "item"))
     keyed = items.withColumn("key", lookup_key(F.col("item"), T.StringType(), lookup.schema["id"].dataType))
-    named = join_lookup(keyed, lookup, "key", "found", n_bytes <= broadcast_bytes, tasks)
+    named = join_lookup(keyed, lookup, "key", "found", small, tasks)
     entry = F.struct("pos", name_or_item(F.col("found"), F.col("item")).alias("name"))
     in_order = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["name"])
     resolved = named.groupBy("id").agg(in_order.alias("name"))
-    small = measure({"lists": resolved})["lists"][0] <= broadcast_bytes
+    small = prepare({column: resolved})[column].n_bytes <= broadcast_bytes
     joined = join_lookup(hits, resolved, column, "_names", small, tasks)
     return joined.select(*renamed, F.col("_names").alias(column))

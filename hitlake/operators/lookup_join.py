@@ -9,6 +9,7 @@ are repeated to meet them.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 from functools import reduce
 from math import ceil
 
@@ -18,6 +19,9 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 << 20
 
+# Longest lookup to carry inside an expression.
+INLINE_ROWS = 1000
+
 # Rough cost of one row in a broadcast hash table, beyond its values.
 _ROW_BYTES = 48
 
@@ -25,36 +29,63 @@ _ROW_BYTES = 48
 _HOT_FACTOR = 4
 
 
-def measure(lookups: Mapping[str, DataFrame], ids: bool = False) -> dict[str, tuple[int, bool | None]]:
-    """Size in bytes of each lookup as a hash table and, with ``ids``, whether its ids are unique.
+@dataclass(frozen=True)
+class Lookup:
+    """A lookup of ``id``, ``name`` with its measured size.
+
+    ``names`` is its whole content where it is short and its ids are unique.
+    """
+
+    frame: DataFrame
+    n_bytes: int
+    names: Mapping[int, str] | None = None
+
+
+def prepare(lookups: Mapping[str, DataFrame], unique: bool = False, inline_rows: int = 0) -> dict[str, Lookup]:
+    """Measure lookups, all in one job with partial aggregates; ``unique`` fails on a repeated id.
 
-    One job with partial aggregates covers all lookups.
+    Lookups of up to ``inline_rows`` rows are fetched too, so that they can be used without a join.
     """
     parts = []
     for label, lookup in lookups.items():
         texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in ("id", "name")]
-        row_bytes = texts[0] + texts[1] + F.lit(_ROW_BYTES)
-        sizes = lookup.select("id", row_bytes.cast("bigint").alias("b"))
-        if ids:
-            sizes = sizes.groupBy("id").agg(F.sum("b").alias("b"), F.count(F.lit(1)).alias("n"))
-            # A NULL id never matches, so its copies do no harm.
-            repeated = F.max(F.when(F.col("id").isNotNull(), F.col("n")))
-        else:
-            repeated = F.lit(None).cast("bigint")
+        row_bytes = (texts[0] + texts[1] + F.lit(_ROW_BYTES)).cast("bigint")
+        sizes = lookup.select("id", row_bytes.alias("b"), F.lit(1).cast("bigint").alias("n"))
+        if unique:
+            sizes = sizes.groupBy("id").agg(F.sum("b").alias("b"), F.sum("n").alias("n"))
         parts.append(
             sizes.agg(
                 F.lit(label).alias("label"),
                 F.coalesce(F.sum("b"), F.lit(0)).alias("n_bytes"),
-                repeated.alias("copies"),
+                F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+                # A NULL id never matches, so its copies do no harm.
+                F.max(F.when(F.col("id").isNotNull(), F.col("n"))).alias("copies"),
             )
         )
-    rows = reduce(DataFrame.unionAll, parts).collect()
-    return {r["label"]: (r["n_bytes"], (r["copies"] or 1) == 1 if ids else None) for r in rows}
-
-
-def not_unique(label: str) -> ValueError:
-    """The error for a lookup that had to hold each id once."""
-    return ValueError(f"lookup {label!r} holds an id more than once; it would multiply rows")
+    measured = {row["label"]: row for row in reduce(DataFrame.unionAll, parts).collect()}
+    for label, row in measured.items():
+        if unique and (row["copies"] or 1) > 1:
+            raise ValueError(f"lookup {label!r} holds an id more than once; it would multiply rows")
+    short = [label for label, row in measured.items() if row["n_rows"] <= inline_rows]
+    names = _fetch({label: lookups[label] for label in short})
+    return {label: Lookup(lookups[label], row["n_bytes"], names.get(label)) for label, row in measured.items()}
+
+
+def _fetch(lookups: Mapping[str, DataFrame]) -> dict[str, Mapping[int, str]]:
+    """The content of short lookups, except those that repeat an id or have ids that are no integers."""
+    plain = {k: v for k, v in lookups.items() if isinstance(v.schema["id"].dataType, T.IntegralType)}
+    if not plain:
+        return {}
+    parts = [v.where("id IS NOT NULL").select(F.lit(k).alias("label"), "id", "name") for k, v in plain.items()]
+    ids: dict[str, list] = {label: [] for label in plain}
+    for row in reduce(DataFrame.unionAll, parts).collect():
+        ids[row["label"]].append((row["id"], row["name"]))
+    # An id whose name is NULL reads like a miss.
+    return {
+        label: {key: name for key, name in found if name is not None}
+        for label, found in ids.items()
+        if len({key for key, _ in found}) == len(found)
+    }
 
 
 def _hot_keys(hits: DataFrame, key: str, tasks: int) -> DataFrame | None:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitlake.operators.enrich import enrich
-from hitlake.operators.lookup_join import BROADCAST_BYTES, measure
+from hitlake.operators.lookup_join import BROADCAST_BYTES, INLINE_ROWS, prepare
 from hitlake.plans.lake import add_columns, not_loaded, refresh, register, write_hits
 from hitlake.plans.ledger import mark_done, pending, read_ledger
 from hitlake.sources.bundle import lookup_table, read_lookups
@@ -87,9 +87,9 @@ def load(
         lookups = {name: lookup_table(combined, name) for name in tables}
     n_files = n_read = n_written = 0
     try:
-        sizes = measure({name: lookups[name] for name, _ in roles}, ids=unique)
+        ready = prepare({name: lookups[name] for name, _ in roles}, unique, INLINE_ROWS)
         # Counts taken before a shuffle can include rows of tasks that were run again.
-        countable = all(n_bytes <= BROADCAST_BYTES for n_bytes, _ in sizes.values())
+        countable = all(lookup.n_bytes <= BROADCAST_BYTES for lookup in ready.values())
         for page in file_pages(closed_files(todo, include_open), page_size):
             sizes_by_day: dict[str, int] = {}
             for row in page:
@@ -102,7 +102,7 @@ def load(
                 hits = not_loaded(hits, target, dedupe_on)
             read, written = Observation(), Observation()
             rows = F.count(F.lit(1)).alias("n")
-            enriched = enrich(hits.observe(read, rows), lookups, roles, unique, sizes=sizes).observe(written, rows)
+            enriched = enrich(hits.observe(read, rows), ready, roles).observe(written, rows)
             write_hits(enriched, target, clustered=True)
             page_read, page_written = read.get.get("n", 0), written.get.get("n", 0)
             if countable:

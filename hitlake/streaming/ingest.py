@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from hitlake.operators.enrich import enrich
-from hitlake.operators.lookup_join import measure
+from hitlake.operators.lookup_join import INLINE_ROWS, prepare
 from hitlake.plans.lake import write_hits
 from hitlake.plans.ledger import mark_done, read_ledger
 from hitlake.sources.hits import drop_empty, parse_hits, spread_lines, with_date
@@ -45,7 +45,7 @@ def ingest(
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    sizes = measure({name: lookups[name] for name, _ in roles})
+    ready = prepare({name: lookups[name] for name, _ in roles}, inline_rows=INLINE_ROWS)
     written = f"{checkpoint.rstrip('/')}-batches"
 
     def append(lines: DataFrame, batch: int) -> None:
@@ -55,7 +55,7 @@ def ingest(
             return
         spread = spread_lines(lines, tasks) if tasks else lines
         hits = with_date(drop_empty(parse_hits(spread, schema)), timestamp)
-        write_hits(enrich(hits, lookups, roles, sizes=sizes), target, clustered=bool(tasks))
+        write_hits(enrich(hits, ready, roles), target, clustered=bool(tasks))
         mark_done(session.createDataFrame([(mark, None)], "path string, feed_date string").coalesce(1), written)
 
     stream = reader.text(source).writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)

@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 
 from hitlake.operators.enrich import enrich, list_lookup
-from hitlake.operators.lookup_join import measure, spread_join
+from hitlake.operators.lookup_join import prepare, spread_join
 from hitlake.sources.bundle import as_lookup
 
 
@@ -117,10 +117,24 @@ def test_chain_counts_hot_keys_on_the_hits_alone(spark):
     assert rows(enrich(hits, names, roles, broadcast_bytes=0, tasks=32)) == rows(enrich(hits, names, roles))
 
 
-def test_measure(spark):
-    sizes = measure({"a": lookup(spark, (1, "xx"), (1, "yy")), "b": lookup(spark)}, ids=True)
-    assert sizes["a"][0] > 2 * 48 and sizes["a"][1] is False
-    assert sizes["b"] == (0, True)
+def test_prepare(spark):
+    given = {"a": lookup(spark, (1, "xx"), (1, "yy")), "b": lookup(spark), "c": lookup(spark, (1, "x"), (2, None))}
+    ready = prepare(given, inline_rows=2)
+    assert ready["a"].n_bytes > 2 * 48 and ready["b"].n_bytes == 0
+    assert [ready[t].names for t in "abc"] == [None, {}, {1: "x"}]
+    assert prepare(given, inline_rows=1)["c"].names is None
+
+
+@pytest.mark.parametrize("inline_rows", [0, 1000])
+def test_prepared_lookups_in_wide_hits(spark, inline_rows):
+    wide = spark.range(6).selectExpr("id AS k", "string(id) AS s", *[f"id AS c{i}" for i in range(120)])
+    odd = "it's a \\ \"name\", é\t\U0001f600"
+    given = {"t": lookup(spark, (1, odd), (2, None), (None, "none")), "r": lookup(spark, (3, "x"), (3, "y"))}
+    out = enrich(wide, prepare(given, inline_rows=inline_rows), [("t", "k"), ("r", "s")])
+    assert out.columns == ["k_id", "s_id", *[f"c{i}" for i in range(120)], "k", "s"]
+    expected = [(0, "0", None, None), (1, "1", odd, None), (2, "2", None, None), (3, "3", None, "x")]
+    expected += [(3, "3", None, "y"), (4, "4", None, None), (5, "5", None, None)]
+    assert rows(out.select("k_id", "s_id", "k", "s")) == expected
 
 
 LISTS = ["100,101,100", "101", "", None, "x,100", ",", " 100 ,102", "999", "100,101,100"]
