@@ -49,11 +49,11 @@ def enrich(
         raise ValueError(f"no such hit columns: {missing}")
     if not roles:
         return hits
-    packed = len(columns) > _PACK_WIDTH
+    wide = len(columns) > _PACK_WIDTH
     tables = {table: lookups[table] for table, _ in roles}
     raw = {table: lookup for table, lookup in tables.items() if not isinstance(lookup, Lookup)}
     if raw:
-        tables |= prepare(raw, unique, INLINE_ROWS if packed else 0)
+        tables |= prepare(raw, unique, INLINE_ROWS if wide else 0)
 
     types = {field.name: field.dataType for field in hits.schema}
     after = {c: f"{c}_id" if c in keys else c for c in columns}
@@ -64,14 +64,14 @@ def enrich(
         lookup = tables[table]
         typed = lookup_key(F.col(key), types[key], lookup.frame.schema["id"].dataType)
         small = lookup.n_bytes <= broadcast_bytes
-        if packed and small and lookup.names is not None:
+        if wide and small and lookup.names is not None:
             found.append(constant_map(lookup.names)[typed.cast("bigint")].alias(f"_n{i}"))
         else:
             found.append(typed.alias(f"_k{i}"))
             # Hot keys are counted on the hits alone, not on the joins so far.
             counted = None if small else hits.select(typed.alias(f"_k{i}"))
             joins.append((lookup.frame, f"_k{i}", f"_n{i}", small, tasks, counted))
-    if packed:
+    if wide and joins:
         frame = hits.select(F.expr(f"struct({', '.join(kept)})").alias("_row"), *found)
         row = [F.inline(F.array("_row"))]
     else:

@@ -70,3 +70,19 @@ def test_replayed_batch_is_skipped(spark, tmp_path):
     for commit in (tmp_path / "checkpoint" / "commits").iterdir():
         commit.unlink()
     assert run(spark, tmp_path) == once == [(1, 1, "A", day(1))]
+
+
+def test_stream_and_load_agree(spark, tmp_path):
+    from conftest import write_bundle
+
+    from hitlake.plans.load import load
+
+    incoming = tmp_path / "incoming"
+    for i in (1, 2, 3):
+        write_gz(incoming / f"01-suite_2024010{i}-000000.tsv.gz", [hit(10 * i + j, i, j % 3) for j in range(5)])
+    write_bundle(incoming / "suite_20240101-000000-lookup_data.tar.gz", {"browser.tsv": b"1\tA"})
+    streamed = run(spark, tmp_path)
+    target = str(tmp_path / "loaded")
+    roles = [("browser", "browser")]
+    load(spark, str(incoming), target, str(tmp_path / "ledger"), SCHEMA, roles, include_open=True)
+    assert rows(spark.read.parquet(target).select("n", "browser_id", "browser", "date")) == streamed
