@@ -98,7 +98,9 @@ def _hot_keys(hits: DataFrame, key: str, tasks: int) -> DataFrame | None:
     counts = keys.groupBy("_hot").agg(F.count(F.lit(1)).alias("n"))
     # No more than this many keys can each be above the threshold.
     top = counts.orderBy(F.desc("n")).limit(max(1, tasks // _HOT_FACTOR)).collect()
-    share = total.get.get("n", 0) / tasks
+    if not top:
+        return None
+    share = total.get["n"] / tasks
     rows = [(row["_hot"], ceil(row["n"] / share)) for row in top if row["n"] > share * _HOT_FACTOR]
     if not rows:
         return None

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from math import ceil
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +50,14 @@ def check_counts(read: int, written: int, exact: bool) -> None:
         raise IncompleteLoad(f"{read} rows read but {written} written")
 
 
+def _observed(count: Observation) -> int:
+    try:
+        return count.get["n"]
+    except Py4JJavaError:
+        # Spark drops the count together with the rest of the plan when it finds the input empty.
+        return 0
+
+
 def load(
     spark: SparkSession,
     source: str,
@@ -104,7 +113,7 @@ def load(
             rows = F.count(F.lit(1)).alias("n")
             enriched = enrich(hits.observe(read, rows), ready, roles).observe(written, rows)
             write_hits(enriched, target, clustered=True)
-            page_read, page_written = read.get.get("n", 0), written.get.get("n", 0)
+            page_read, page_written = _observed(read), _observed(written)
             if countable:
                 check_counts(page_read, page_written, exact=unique)
             done = spark.createDataFrame([(r["path"], r["feed_date"]) for r in page], "path string, feed_date string")

@@ -168,3 +168,11 @@ def test_list_lookup_without_names(spark):
 def test_as_lookup(spark):
     frame = spark.createDataFrame([(1, "a")], "k int, v string")
     assert as_lookup(frame, "k", "v").dtypes == [("id", "bigint"), ("name", "string")]
+
+
+def test_no_hits(spark):
+    none = spark.createDataFrame([], "k bigint, l string")
+    names = {"t": lookup(spark, (1, "a"))}
+    assert rows(enrich(none, names, [("t", "k")], broadcast_bytes=0, tasks=16)) == []
+    assert rows(enrich(none.where("false"), names, [("t", "k")], broadcast_bytes=0, tasks=16)) == []
+    assert rows(list_lookup(none, "l", names["t"], inline_rows=0, tasks=16)) == []

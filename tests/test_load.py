@@ -144,3 +144,12 @@ def test_failed_gate_leaves_files_pending(spark, feed, monkeypatch):
     with pytest.raises(IncompleteLoad):
         run(spark, feed)
     assert read_ledger(spark, str(feed / "ledger")).count() == 0
+
+
+def test_files_without_hits(spark, tmp_path):
+    write_gz(tmp_path / "incoming" / "01-suite_20240101-000000.tsv.gz", ["", "\t\t", "x\tx\tx"])
+    write_gz(tmp_path / "incoming" / "01-suite_20240102-000000.tsv.gz", [])
+    write_gz(tmp_path / "incoming" / "01-suite_20240103-000000.tsv.gz", [hit(1, 2)])
+    lookups = {"browser": spark.createDataFrame([(1, "A")], "id bigint, name string")}
+    assert run(spark, tmp_path, lookups=lookups, page_size=1) == LoadReport(2, 0, 0)
+    assert run(spark, tmp_path, lookups=lookups) == LoadReport(0, 0, 0)
