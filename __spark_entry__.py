@@ -31,6 +31,14 @@ from hitlake.sources.schema import DEFAULT_ROLES, hit_schema
 from hitlake.storage import scratch_path, write_bytes
 from hitlake.streaming.ingest import ingest
 
+try:  # The training-data operators are an optional part.
+    import corpus_pipeline
+    from hitlake.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "hitlake.llm"):
+        raise
+    llm_queries = None
+
 # ---------------------------------------------------------------------------------------------------
 # Inputs derived from the given tables
 # ---------------------------------------------------------------------------------------------------
@@ -419,6 +427,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_load": daily_load,
         "standard_load": standard_load,
         "stream_ingest": stream_ingest,
+        **(llm_queries.queries() | {"pipeline": corpus_pipeline.run} if llm_queries else {}),
     }
 
 
@@ -515,4 +524,5 @@ def oracle_sql() -> dict[str, str]:
         "standard_load": _standard_sql(),
         "stream_ingest": """SELECT event_id, user_id % 30 AS nation_id, n_name AS nation, CAST(ts AS DATE) AS date
             FROM events LEFT JOIN nation ON user_id % 30 = n_nationkey""",
+        **(llm_queries.oracle_sql() if llm_queries else {}),
     }
