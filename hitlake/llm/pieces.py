@@ -438,5 +438,5 @@ def digests(texts: DataFrame, key: str = "doc_id", n_best: int = 4, text: str =
                 names=["key", "n_pieces", "scores", "ids_crc32", "round_trip"],
             )
 
-    schema = T.StructType([rows.schema["key"]]).add("n_pieces", "bigint").add("scores", T.ArrayType(T.DoubleType())).add("ids_crc32", T.ArrayType(T.LongType())).add("round_trip", "boolean")
+    schema = T.StructType([rows.schema["key"]]).add("n_pieces", T.LongType()).add("scores", T.ArrayType(T.DoubleType())).add("ids_crc32", T.ArrayType(T.LongType())).add("round_trip", T.BooleanType())
     return rows.mapInArrow(apply, schema).withColumnRenamed("key", key)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlake.llm import jaccard_join, phrase_index, pieces, private_data, toxicity
+from hitlake.llm import fingerprints, jaccard_join, perspectives, phrase_index, pieces, private_data, token_files, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,41 @@ def op5_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids, written as wavelet matrices and read back."""
+    return token_files.round_trip(_table(spark, sf_dir, "documents"))
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, its edited text's, and their likeness."""
+    return fingerprints.compare(_table(spark, sf_dir, "documents"))
+
+
+def op8_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as seen by each of its participants."""
+    seen = perspectives.rotate(_table(spark, sf_dir, "conversations"))
+    mask = F.array_join(F.transform("mask", lambda m: F.concat_ws(":", m["start"], m["end"])), ",")
+    return seen.withColumn("mask", mask)
+
+
+_PERSPECTIVES_SQL = """
+WITH r AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+                  coalesce(CAST(floor(turn / 128.0) AS BIGINT), -1) AS part
+           FROM conversations WHERE conv_id IS NOT NULL),
+     s AS (SELECT DISTINCT conv_id, role AS speaker FROM r),
+     t AS (SELECT r.*, speaker, role = speaker AS own,
+                  CASE WHEN role = speaker THEN '<|im_start|>assistant' ELSE '<|im_start|>user name='||role END
+                  || chr(10) AS head, text || '<|im_end|>' AS body
+           FROM r JOIN s USING (conv_id)),
+     w AS (SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, speaker, part
+                  ORDER BY turn NULLS FIRST, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM t)
+SELECT conv_id, speaker, part, count(*) AS n_turns, count(*) FILTER (own) AS n_own,
+       string_agg(head || body, chr(10) ORDER BY pos) AS text,
+       coalesce(string_agg(CAST(pos + length(head) AS BIGINT) || ':' || CAST(pos + length(head) + length(body) AS BIGINT), ','
+                ORDER BY pos) FILTER (own), '') AS mask
+FROM w GROUP BY conv_id, speaker, part"""
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The score of every document; labels of a quarter of the ids are never learnt from."""
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -68,10 +103,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_decontaminate": op1_decontaminate,
         "op2_pieces": op2_pieces,
         "op5_private_data": op5_private_data,
+        "op6_token_files": op6_token_files,
+        "op7_fingerprints": op7_fingerprints,
+        "op8_perspectives": op8_perspectives,
         "op9_toxicity": op9_toxicity,
         "op10_jaccard_join": op10_jaccard_join,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_perspectives": _PERSPECTIVES_SQL}
