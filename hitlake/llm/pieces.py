@@ -19,6 +19,7 @@ import re
 import zlib
 from bisect import insort
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from operator import itemgetter
 from struct import pack
 
@@ -38,7 +39,7 @@ UNKNOWN = 10.0
 #: searched together.
 TOGETHER, BATCH = 16, 10_000
 #: Distinct words whose segmentations a worker remembers.
-MEMORY = 500_000
+MEMORY = 1_000_000
 
 
 def default_model() -> str:
@@ -89,6 +90,16 @@ class _Rows:
         return out
 
 
+@dataclass
+class Found:
+    """Segmentations of many words: costs and numbers of ids (words x N), and the packed ids of the best and the others."""
+
+    cost: np.ndarray
+    length: np.ndarray
+    best: list[bytes]
+    others: list[bytes]
+
+
 class Lattice:
     """The pieces of a model, and the N best segmentations of a word."""
 
@@ -172,21 +183,25 @@ class Lattice:
             del opened[left:]
         return out
 
-    def best_of_all(self, words: list[str], count: int) -> list[list[tuple[float, bytes]]]:
-        """``best`` of many words at once, ids packed: the same search, one step of all words at a time."""
-        out: list[list[tuple[float, bytes]]] = [[] for _ in words]
+    def best_of_all(self, words: list[str], count: int) -> Found:
+        """``best`` of many words at once: the same search, one step of all words at a time."""
+        out = Found(np.full((len(words), count), np.inf), np.zeros((len(words), count), np.int32), [b""] * len(words), [b""] * len(words))
         lengths = np.array([len(w) for w in words])
+        # In order of length, words of one step stand side by side.
         short = np.flatnonzero(lengths <= TOGETHER)
+        short = short[np.argsort(-lengths[short], kind="stable")]
+        alone = np.flatnonzero(lengths > TOGETHER).tolist()
         if len(short):
             marks = np.concatenate([[0], np.cumsum(lengths[short])])
             table, known = self._edges("".join([words[n] for n in short]), marks)
-            alone = [n for n, ok in zip(short, known, strict=True) if not ok]
-            for at, found in self._search(table, marks, np.flatnonzero(known), count):
-                out[short[at]] = found
-        else:
-            alone = []
-        for n in [*alone, *np.flatnonzero(lengths > TOGETHER)]:
-            out[n] = [(score, pack(f"<{len(ids)}i", *ids)) for score, ids in self.best(words[n], count)]
+            alone += short[~known].tolist()
+            self._search(table, marks, np.flatnonzero(known), short, count, out)
+        for n in alone:
+            found = self.best(words[n], count)
+            out.cost[n, : len(found)] = [-score for score, _ in found]
+            out.length[n, : len(found)] = [len(ids) for _, ids in found]
+            out.best[n] = pack(f"<{len(found[0][1])}i", *found[0][1])
+            out.others[n] = b"".join(pack(f"<{len(ids)}i", *ids) for _, ids in found[1:])
         return out
 
     def _edges(self, joined: str, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -202,7 +217,7 @@ class Lattice:
             table[length - 1, starts] = self._rows.find(hasher.spans(at[starts], at[starts + length]))
         return table, np.logical_and.reduceat(table[0] >= 0, marks[:-1])
 
-    def _search(self, table: np.ndarray, marks: np.ndarray, chosen: np.ndarray, count: int) -> Iterator[tuple[int, list]]:
+    def _search(self, table: np.ndarray, marks: np.ndarray, chosen: np.ndarray, places: np.ndarray, count: int, out: Found) -> None:
         base, size = marks[:-1][chosen], np.diff(marks)[chosen]
         n, reach = len(chosen), min(self.longest, TOGETHER)
         # Best scores up to each position, and each position's best incoming edges (whatever comes after it).
@@ -268,9 +283,10 @@ class Lattice:
         flat = np.empty(int(first[-1]), "<i4")
         flat[first[word * count + rank + 1] - 1 - place] = self._row_ids[rows]
         packed, first = flat.tobytes(), (first * 4).tolist()
-        total, each = (-out_cost).tolist(), found.tolist()
-        for k, number in enumerate(chosen.tolist()):
-            yield number, [(total[k][j], packed[first[k * count + j] : first[k * count + j + 1]]) for j in range(each[k])]
+        out.cost[places[chosen]], out.length[places[chosen]] = out_cost, out_steps
+        for k, place in enumerate(places[chosen].tolist()):
+            at, after, end = first[k * count], first[k * count + 1], first[k * count + count]
+            out.best[place], out.others[place] = packed[at:after], packed[after:end]
 
     def text(self, ids: Iterable[int]) -> str:
         """The text of piece ids; marks become spaces, and the first one goes."""
@@ -288,18 +304,23 @@ class Encoder:
     def forget(self) -> None:
         self.number: dict[str, int] = {}
         self.ids: list[bytes] = []
-        self.score: list[float] = []
-        self.loss: list[float] = []
-        self.others: list[list[tuple[float, bytes]]] = []
+        self.others: list[bytes] = []
+        self.cost = np.empty((0, self.count))
+        self.length = np.empty((0, self.count), np.int32)
 
     def learn(self, words: list[str]) -> None:
-        for word, found in zip(words, self.lattice.best_of_all(words, self.count), strict=True):
-            self.number[word] = len(self.ids)
-            score, ids = found[0]
-            self.ids.append(ids)
-            self.score.append(score)
-            self.others.append([(score - other, own) for other, own in found[1:]])
-            self.loss.append(score - found[1][0] if len(found) > 1 else math.inf)
+        begin = len(self.ids)
+        found = [self.lattice.best_of_all(words[at : at + BATCH], self.count) for at in range(0, len(words), BATCH)]
+        self.number.update(zip(words, range(begin, begin + len(words)), strict=True))
+        for one in found:
+            self.ids += one.best
+            self.others += one.others
+        if len(self.ids) > len(self.cost):  # room for the words of many runs
+            room = np.zeros((max(len(self.ids), len(self.cost) * 3 // 2) - len(self.cost), self.count))
+            self.cost, self.length = np.concatenate([self.cost, room]), np.concatenate([self.length, room.astype(np.int32)])
+        if found:
+            self.cost[begin : len(self.ids)] = np.concatenate([one.cost for one in found])
+            self.length[begin : len(self.ids)] = np.concatenate([one.length for one in found])
 
     def segment_all(self, texts: list[str | None]) -> list[list[tuple[float, bytes]]]:
         """The N best segmentations of each text as (score, little-endian 32-bit ids), best first."""
@@ -308,19 +329,18 @@ class Encoder:
         if len(self.number) > MEMORY:
             self.forget()
         fresh = sorted(set().union(*parts) - self.number.keys())
-        for at in range(0, len(fresh), BATCH):
-            self.learn(fresh[at : at + BATCH])
+        self.learn(fresh)
         return [self._segment(p) for p in parts]
 
     def _segment(self, parts: list[str]) -> list[tuple[float, bytes]]:
         if not parts:
             return [(0.0, b"")]
-        words = list(map(self.number.__getitem__, parts))
-        best = b"".join(map(self.ids.__getitem__, words))
-        total = sum(map(self.score.__getitem__, words))
+        words = np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
+        best = b"".join(map(self.ids.__getitem__, words.tolist()))
+        total = -float(self.cost[words, 0].sum())
         if self.count == 1:
             return [(total, best)]
-        losses = np.fromiter(map(self.loss.__getitem__, words), np.float64, len(words))
+        losses = self.cost[words, 1] - self.cost[words, 0]
         most = min(self.count - 1, len(words))
         slots = np.lexsort((np.arange(len(words)), losses))[:most] if len(words) <= 64 else self._least(losses, most)
         slots = [int(s) for s in slots if np.isfinite(losses[s])]
@@ -330,11 +350,11 @@ class Encoder:
         heap = [(losses[slots[0]], ((0, 0),))] if slots else []
         while heap and len(out) < self.count:
             cost, changes = heapq.heappop(heap)
-            out.append((total - cost, self._changed(words, slots, changes)))
+            out.append((total - float(cost), self._changed(words, best, slots, changes)))
             at, option = changes[-1]
-            options = self.others[words[slots[at]]]
-            if option + 1 < len(options):
-                heapq.heappush(heap, (cost - options[option][0] + options[option + 1][0], (*changes[:-1], (at, option + 1))))
+            options = self.cost[words[slots[at]], 1:] - self.cost[words[slots[at]], 0]
+            if option + 1 < len(options) and np.isfinite(options[option + 1]):
+                heapq.heappush(heap, (cost - options[option] + options[option + 1], (*changes[:-1], (at, option + 1))))
             if at + 1 < len(slots):
                 more = losses[slots[at + 1]]
                 heapq.heappush(heap, (cost + more, (*changes, (at + 1, 0))))
@@ -348,14 +368,19 @@ class Encoder:
         near = np.flatnonzero(losses <= bound)
         return near[np.lexsort((near, losses[near]))][:most]
 
-    def _changed(self, words: list[int], slots: list[int], changes: tuple) -> bytes:
+    def _other(self, word: int, option: int) -> bytes:
+        ends = np.cumsum(self.length[word, 1:]) * 4
+        return self.others[word][ends[option] - 4 * self.length[word, option + 1] : ends[option]]
+
+    def _changed(self, words: np.ndarray, best: bytes, slots: list[int], changes: tuple) -> bytes:
+        """The best segmentation's ids with those of the changed words put in their place."""
+        places = np.cumsum(self.length[words, 0]) * 4
         parts, begin = [], 0
-        for slot, ids in sorted((slots[at], self.others[words[slots[at]]][option][1]) for at, option in changes):
-            parts += map(self.ids.__getitem__, words[begin:slot])
-            parts.append(ids)
-            begin = slot + 1
-        parts += map(self.ids.__getitem__, words[begin:])
-        return b"".join(parts)
+        for slot, option in sorted((slots[at], option) for at, option in changes):
+            end = int(places[slot])
+            parts += [best[begin : end - 4 * int(self.length[words[slot], 0])], self._other(int(words[slot]), option)]
+            begin = end
+        return b"".join([*parts, best[begin:]])
 
 
 _encoders: dict[tuple[str, int], Encoder] = {}
