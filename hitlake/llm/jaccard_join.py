@@ -6,8 +6,9 @@ at least ``k`` of the first ``size - ceil(t * size) + k`` elements of each.  Eac
 prefix costs more postings, but more shared elements are asked for before a pair is verified.  A pair is a
 candidate if it shares ``min`` of the two texts' ``k`` within the prefixes of that ``k``.
 
-Equal sets are one class and take part once.  Verification compares whole sets, and goes in two rounds.  The first
-takes neighbours along each posting list, and its links are contracted to components.  The second takes all
+Equal sets are one class and take part once.  Verification first compares bitmaps, whose unshared bits each stand
+for an unshared element, and then the whole sets of the pairs that this leaves.  It goes in two rounds.  The first
+takes neighbours along each posting list that share much of their prefixes, and its links are contracted to components.  The second takes all
 candidate pairs between different components, so that a group of thousands of near copies is not paired out.
 
 Words are runs without space, tab, newline, vertical tab, form feed and return, with A-Z lowered.  A text of fewer
@@ -187,14 +188,15 @@ def _pairs_of(postings: np.ndarray, percent: int, all_pairs: bool) -> Iterator[n
         keep = (a["root"] != b["root"]) & (bound >= need) & (np.maximum(a["size"], b["size"]) * np.int64(percent) <= 100 * np.minimum(a["size"], b["size"]).astype(np.int64))
         keep &= (a["at"] < limit(a)) & (b["at"] < limit(b))
         if not all_pairs:
-            yield np.stack([a["doc"], b["doc"], k, keep], axis=1).astype(np.int64)
+            room = np.minimum(limit(a), limit(b))  # the first round is free to choose: likely links only
+            yield np.stack([a["doc"], b["doc"], np.maximum(k, room // 4), keep], axis=1).astype(np.int64)
             return
         yield np.stack([a["doc"][keep], b["doc"][keep], k[keep], keep[keep]], axis=1).astype(np.int64)
         distance += 1
 
 
 def _candidates(dealt: DataFrame, percent: int, all_pairs: bool, parts: int) -> DataFrame:
-    """(a, b, shared): pairs with a < b and the number of prefix elements that speak for them.
+    """(a, b, likely): pairs with a < b, and whether they share as many prefix elements as was asked for.
 
     Neighbours come whatever they share; of all pairs only those that share enough.
     """
@@ -218,7 +220,7 @@ def _candidates(dealt: DataFrame, percent: int, all_pairs: bool, parts: int) ->
 
     made = dealt.repartition(parts, "bucket").mapInArrow(apply, "a bigint, b bigint, asked int, shared bigint")
     summed = made.groupBy("a", "b").agg(F.min("asked").alias("asked"), F.sum("shared").alias("shared"))
-    return (summed.where("shared >= asked") if all_pairs else summed).select("a", "b", "shared")
+    return (summed.where("shared >= asked") if all_pairs else summed).select("a", "b", (F.col("shared") >= F.col("asked")).alias("likely"))
 
 
 def _counted(waiting: list[np.ndarray]) -> pa.RecordBatch:
@@ -237,14 +239,27 @@ def _counted(waiting: list[np.ndarray]) -> pa.RecordBatch:
     )
 
 
+def _bitmap(own: np.ndarray) -> bytes:
+    """About eight bits for each element, a power of two in all; the low bits of a hash tell its place."""
+    size = 1 << max(6, int(8 * len(own) - 1).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[(own & np.uint64(size - 1)).astype(np.int64)] = 1
+    return np.packbits(bits).tobytes()
+
+
 def _shingle_sets(texts: DataFrame, n: int) -> DataFrame:
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches):
-            # Six bytes of each hash: two of a pair's elements agree by chance once in 2 ** 48.
-            packed = [(own >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for own in _sets(run.column(1), n)]
-            yield pa.RecordBatch.from_arrays([run.column(0), pa.array(packed, pa.binary())], names=["doc_id", "own"])
+            sizes, packed, bitmaps = [], [], []
+            for own in _sets(run.column(1), n):
+                sizes.append(len(own))
+                # Six bytes of each hash: two of a pair's elements agree by chance once in 2 ** 48.
+                packed.append((own >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
+                bitmaps.append(_bitmap(own))
+            columns = [run.column(0), pa.array(sizes, pa.int32()), pa.array(packed, pa.binary()), pa.array(bitmaps, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "size", "own", "bits"])
 
-    return texts.select("doc_id", "text").mapInArrow(apply, "doc_id bigint, own binary")
+    return texts.select("doc_id", "text").mapInArrow(apply, "doc_id bigint, size int, own binary, bits binary")
 
 
 def _unpacked(packed: bytes) -> np.ndarray:
@@ -253,23 +268,47 @@ def _unpacked(packed: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets are similar."""
+def _common(x: bytes, y: bytes) -> int:
+    """How many elements two packed sets share."""
+    both = np.concatenate([_unpacked(x), _unpacked(y)])
+    both.sort()
+    return int((both[1:] == both[:-1]).sum())
+
+
+def _folded(bits: np.ndarray, size: int) -> np.ndarray:
+    while len(bits) > size:
+        bits = bits[: len(bits) // 2] | bits[len(bits) // 2 :]
+    return bits
+
+
+def _most_common(x: bytes, y: bytes, size_x: int, size_y: int) -> int:
+    """How many elements two sets share at most, told from their bitmaps."""
+    x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    size = min(len(x), len(y))
+    x, y = _folded(x, size), _folded(y, size)
+    return min(size_x - int(np.bitwise_count(x & ~y).sum()), size_y - int(np.bitwise_count(y & ~x).sum()))
+
+
+def _passing(pairs: DataFrame, sets: DataFrame, column: str, percent: int, exact: bool) -> DataFrame:
+    """The pairs (a, b) that are similar by their whole sets, or may be by their bitmaps."""
 
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = _unpacked(x), _unpacked(y)
-                both = np.concatenate([x, y])
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
+            for x, y, m, n in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True):
+                common = _common(x, y) if exact else _most_common(x, y, m, n)
+                keep.append(100 * common >= percent * (m + n - common))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("own").alias("x")), "a")
-    both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("own").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(apply, "a bigint, b bigint")
+    left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col(column).alias("x"), F.col("size").alias("m")), "a")
+    both = left.join(sets.select(F.col("doc_id").alias("b"), F.col(column).alias("y"), F.col("size").alias("n")), "b")
+    return both.select("a", "b", "x", "y", "m", "n").mapInArrow(apply, "a bigint, b bigint")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose whole sets are similar."""
+    left = _stored(_passing(pairs, sets, "bits", percent, False), "screened")
+    return _stored(_passing(left, sets, "own", percent, True), "links")
 
 
 def components(texts: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -293,7 +332,7 @@ def components(texts: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     # Whoever stands on a list with another text has a neighbour there; nobody else can be a candidate.
     wanted = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     sets = _stored(_shingle_sets(texts.join(wanted, "doc_id", "left_semi"), n), "sets")
-    links = _stored(_verified(near.where("shared > 0").select("a", "b"), sets, percent), "links")
+    links = _verified(near.where("likely").select("a", "b"), sets, percent)
     roots = _stored(connect(links), "roots")
 
     rooted = reps.join(roots, reps["doc_id"] == roots["node"], "left").withColumn("root", F.coalesce("root", "doc_id"))
