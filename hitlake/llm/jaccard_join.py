@@ -22,6 +22,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +41,9 @@ MOST_MATCHES, VERIFY_COST = 4, 16.0
 #: Postings of one bucket, on average.
 BUCKET_POSTINGS = 400_000
 
+#: How far along a list the first round looks.
+NEIGHBOURS = 4
+
 _SECOND = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -142,6 +146,26 @@ def _profiles(texts: DataFrame, n: int, percent: int, sketch: np.ndarray) -> Dat
 _POSTING = np.dtype([("key", "<u8"), ("doc", "<i8"), ("root", "<i8"), ("size", "<i4"), ("at", "<i4"), ("matches", "<i4")])
 
 
+def _packed(postings: np.ndarray) -> bytes:
+    """Postings sorted by key, column by column, keys as gaps and roots relative to documents."""
+    columns = {name: postings[name].copy() for name in _POSTING.names}
+    columns["key"][1:] -= postings["key"][:-1]
+    columns["root"] -= postings["doc"]
+    return zstandard.compress(b"".join(c.tobytes() for c in columns.values()), 1)
+
+
+def _unpacked_postings(packed: bytes) -> np.ndarray:
+    raw = zstandard.decompress(packed)
+    postings, at = np.empty(len(raw) // _POSTING.itemsize, _POSTING), 0
+    for name in _POSTING.names:
+        kind = _POSTING[name]
+        postings[name] = np.frombuffer(raw, kind, len(postings), at)
+        at += kind.itemsize * len(postings)
+    postings["key"] = np.cumsum(postings["key"], dtype=np.uint64)
+    postings["root"] += postings["doc"]
+    return postings
+
+
 def _dealt(buckets: int):
     """Postings of one batch of texts, a packed array for each bucket of keys."""
 
@@ -161,7 +185,7 @@ def _dealt(buckets: int):
             made, bucket = made[order], bucket[order]
             heads = np.flatnonzero(np.diff(bucket, prepend=-1))
             ends = np.append(heads[1:], len(made))
-            yield pa.RecordBatch.from_pydict({"bucket": pa.array(bucket[heads], pa.int32()), "postings": pa.array([made[a:b].tobytes() for a, b in zip(heads, ends, strict=True)], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"bucket": pa.array(bucket[heads], pa.int32()), "postings": pa.array([_packed(made[a:b]) for a, b in zip(heads, ends, strict=True)], pa.binary())})
 
     return apply
 
@@ -190,7 +214,10 @@ def _pairs_of(postings: np.ndarray, percent: int, all_pairs: bool) -> Iterator[n
         if not all_pairs:
             room = np.minimum(limit(a), limit(b))  # the first round is free to choose: likely links only
             yield np.stack([a["doc"], b["doc"], np.maximum(k, room // 4), keep], axis=1).astype(np.int64)
-            return
+            distance += 1
+            if distance > NEIGHBOURS:
+                return
+            continue
         yield np.stack([a["doc"][keep], b["doc"][keep], k[keep], keep[keep]], axis=1).astype(np.int64)
         distance += 1
 
@@ -202,7 +229,7 @@ def _candidates(dealt: DataFrame, percent: int, all_pairs: bool, parts: int) ->
     """
 
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = [np.frombuffer(p, _POSTING) for batch in batches for p in batch.column(1).to_pylist()]
+        held: list[np.ndarray] = [_unpacked_postings(p) for batch in batches for p in batch.column(1).to_pylist()]
         if not held:
             return
         postings = np.concatenate(held)

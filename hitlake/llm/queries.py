@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlake.llm import fingerprints, jaccard_join, perspectives, phrase_index, pieces, private_data, token_files, toxicity
+from hitlake.llm import fingerprints, jaccard_join, main_text, perspectives, phrase_index, pieces, private_data, suffix_dedup, token_files, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,17 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(_table(spark, sf_dir, "documents"), n_best=4)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of repeated 50-byte strings."""
+    return suffix_dedup.dedup(_table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = main_text.extract(_table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op5_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and added personal data spans of every document."""
     found = private_data.find_private(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -102,6 +113,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
         "op2_pieces": op2_pieces,
+        "op3_suffix_dedup": op3_suffix_dedup,
+        "op4_main_text": op4_main_text,
         "op5_private_data": op5_private_data,
         "op6_token_files": op6_token_files,
         "op7_fingerprints": op7_fingerprints,
