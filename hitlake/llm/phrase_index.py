@@ -217,11 +217,11 @@ def search(index: DataFrame, queries: DataFrame, key: str = "item_id", text: str
         rows = (
             spark.read.schema(_HITS).parquet(*stored)
             .groupBy("shard", "slot")
-            .agg(F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.collect_list("hit").alias("hits"))
+            .agg(F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("items")).alias("items"), F.collect_list("hit").alias("hits"))
             .select("id", "n_words", "items", F.lit(0).alias("row"), "hits")
         )
     merged = rows.mapInArrow(_merged, "id bigint, n_words bigint, items array<string>, row int, n_hit bigint")
-    return merged.select("id", "n_words", F.array_sort("items").alias("items"), "n_hit")
+    return merged.select("id", "n_words", F.array_sort(F.array_distinct("items")).alias("items"), "n_hit")
 
 
 def near(index: DataFrame, terms: list[str], span: int) -> DataFrame:

@@ -244,7 +244,7 @@ def find_private(texts: DataFrame, key: str = "doc_id", text: str = "text", roun
         return F.struct(s["start"].alias("start"), s["end"].alias("end"), *_features(value(s), before))
 
     proposed = F.transform(_pieces(body, CANDIDATE, _CANDIDATE_GATE), scored)
-    free = lambda s: ~F.exists(F.col("base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    free = lambda s: ~F.exists(F.col("base"), lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"]))
     chosen = F.filter(proposed, lambda s: (_margin(model, s) >= model.threshold) & free(s))
     return rows.withColumn("spans", F.array_sort(F.concat("base", F.transform(chosen, span("secret")))))
 

@@ -95,6 +95,8 @@ def _bucket(short: np.ndarray, buckets: int) -> np.ndarray:
 
 def _cut(order: np.ndarray, bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     heads = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    if not len(order):
+        return
     for a, b in zip(heads, np.append(heads[1:], len(order)), strict=True):
         yield int(bucket[order[a]]), order[a:b]
 
@@ -236,7 +238,8 @@ def suffix_order(text: np.ndarray, covered: int = 1) -> np.ndarray:
         low[open_] = np.where(less, middle + 1, low[open_])
         high[open_] = np.where(less, high[open_], middle)
     out = np.empty(size, np.int64)
-    at = low + np.arange(len(rest))
+    # Suffixes that agree in LENGTH bytes may stand in any order, but the rest keeps its own.
+    at = np.maximum.accumulate(low) + np.arange(len(rest))
     out[at] = rest
     free = np.ones(size, bool)
     free[at] = False
