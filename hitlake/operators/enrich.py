@@ -52,6 +52,9 @@ def enrich(
     wide = len(columns) > _PACK_WIDTH
     tables = {table: lookups[table] for table, _ in roles}
     raw = {table: lookup for table, lookup in tables.items() if not isinstance(lookup, Lookup)}
+    unchecked = [t for t, lookup in tables.items() if unique and isinstance(lookup, Lookup) and not lookup.unique]
+    if unchecked:
+        raise ValueError(f"lookups prepared without a check for repeated ids: {unchecked}")
     if raw:
         tables |= prepare(raw, unique, INLINE_ROWS if wide else 0)
 

@@ -39,6 +39,7 @@ class Lookup:
     frame: DataFrame
     n_bytes: int
     names: Mapping[int, str] | None = None
+    unique: bool = False
 
 
 def prepare(lookups: Mapping[str, DataFrame], unique: bool = False, inline_rows: int = 0) -> dict[str, Lookup]:
@@ -68,7 +69,7 @@ def prepare(lookups: Mapping[str, DataFrame], unique: bool = False, inline_rows:
             raise ValueError(f"lookup {label!r} holds an id more than once; it would multiply rows")
     short = [label for label, row in measured.items() if row["n_rows"] <= inline_rows]
     names = _fetch({label: lookups[label] for label in short})
-    return {label: Lookup(lookups[label], row["n_bytes"], names.get(label)) for label, row in measured.items()}
+    return {label: Lookup(lookups[label], row["n_bytes"], names.get(label), unique) for label, row in measured.items()}
 
 
 def _fetch(lookups: Mapping[str, DataFrame]) -> dict[str, Mapping[int, str]]:

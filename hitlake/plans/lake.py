@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlake.operators.lookup_join import spread_join
 from hitlake.storage import exists
 
 
@@ -78,10 +79,11 @@ def business_join(
 
 
 def not_loaded(hits: DataFrame, target: str, keys: Sequence[str]) -> DataFrame:
-    """Hits whose ``keys`` the lake does not hold on the same date yet; NULL equals NULL.
+    """Hits whose ``keys`` the lake does not hold on the same date yet.
 
-    Only the dates that the hits touch are read from the lake, and only the keys.  The hits are read
-    more than once: also for their dates, and for keys that very many of them share.
+    A hit with a NULL among its keys is not identified, so it always counts as new; a NULL date equals
+    another.  Only the dates that the hits touch are read from the lake, and only the keys.  The hits are
+    read more than once: also for their dates.
     """
     spark = hits.sparkSession
     if not exists(spark, target):
@@ -92,8 +94,10 @@ def not_loaded(hits: DataFrame, target: str, keys: Sequence[str]) -> DataFrame:
     if None in touched:
         there = there | F.col("date").isNull()
     columns = ["date", *keys]
-    # As a struct, a key with NULL parts equals another with the same ones.
-    key = F.struct(*[F.col(c).cast(hits.schema[c].dataType).alias(c) for c in columns])
+    known = reduce(and_, [F.col(c).isNotNull() for c in keys], F.lit(True))
     lake = spark.read.schema(hits.select(*columns).schema).parquet(target)
-    seen = lake.where(there).select(key.alias("_seen")).distinct()
-    return spread_join(hits.withColumn("_key", key), seen, "_key", "_seen", how="left_anti").drop("_key")
+    seen = lake.where(there).where(known).select(*[F.col(c).alias(f"_seen_{c}") for c in columns]).distinct()
+    same = [F.col(c) == F.col(f"_seen_{c}") for c in keys]
+    new = hits.where(known).join(seen, reduce(and_, same, F.col("date").eqNullSafe(F.col("_seen_date"))), "left_anti")
+    # Hits without an identity stay out of the join: they may be many.
+    return new.unionAll(hits.where(~known))

@@ -27,6 +27,7 @@ from hitlake.sources.landing import (
     list_landing,
     removable,
 )
+from hitlake.storage import exists
 from hitlake.sources.schema import DEFAULT_ROLES, hit_schema
 
 # Compressed feed bytes per task: about the size of the Parquet file the task writes.
@@ -50,12 +51,21 @@ def check_counts(read: int, written: int, exact: bool) -> None:
         raise IncompleteLoad(f"{read} rows read but {written} written")
 
 
-def _observed(count: Observation) -> int:
+def _observed(count: Observation, rows: DataFrame) -> int:
     try:
         return count.get["n"]
     except Py4JJavaError:
         # Spark drops the count together with the rest of the plan when it finds the input empty.
+        if rows.isEmpty():
+            return 0
+        raise
+
+
+def _held(spark: SparkSession, target: str) -> int:
+    """Rows of the lake, told by its files' footers."""
+    if not exists(spark, target) or not any(spark.read.format("binaryFile").load(target, recursiveFileLookup=True, pathGlobFilter="*.parquet").select("path").take(1)):
         return 0
+    return spark.read.parquet(target).count()
 
 
 def load(
@@ -97,9 +107,8 @@ def load(
     n_files = n_read = n_written = 0
     try:
         ready = prepare({name: lookups[name] for name, _ in roles}, unique, INLINE_ROWS)
-        # Counts taken before a shuffle can include rows of tasks that were run again.
         countable = all(lookup.n_bytes <= BROADCAST_BYTES for lookup in ready.values())
-        for page in file_pages(closed_files(todo, include_open), page_size):
+        for page in file_pages(closed_files(todo, include_open, landing), page_size):
             sizes_by_day: dict[str, int] = {}
             for row in page:
                 sizes_by_day[row["feed_date"]] = sizes_by_day.get(row["feed_date"], 0) + row["length"]
@@ -109,13 +118,18 @@ def load(
             hits = with_date(drop_empty(raw), timestamp)
             if dedupe_on:
                 hits = not_loaded(hits, target, dedupe_on)
+            # Counts taken before a shuffle can include rows of tasks that were run again; then the rows are
+            # counted on their own, and the lake before and after.
+            before, counted = (0, 0) if countable else (_held(spark, target), hits.count())
             read, written = Observation(), Observation()
             rows = F.count(F.lit(1)).alias("n")
             enriched = enrich(hits.observe(read, rows), ready, roles).observe(written, rows)
             write_hits(enriched, target, clustered=True)
-            page_read, page_written = _observed(read), _observed(written)
             if countable:
-                check_counts(page_read, page_written, exact=unique)
+                page_read, page_written = _observed(read, hits), _observed(written, enriched)
+            else:
+                page_read, page_written = counted, _held(spark, target) - before
+            check_counts(page_read, page_written, exact=unique)
             done = spark.createDataFrame([(r["path"], r["feed_date"]) for r in page], "path string, feed_date string")
             mark_done(done.coalesce(1), ledger)
             n_files, n_read, n_written = n_files + len(page), n_read + page_read, n_written + page_written

@@ -61,12 +61,16 @@ def day_batches(files: DataFrame) -> DataFrame:
     )
 
 
-def closed_files(files: DataFrame, include_open: bool = False) -> DataFrame:
-    """Data files of every day but the newest, which may still be filling.  A lone day is not closed."""
+def closed_files(files: DataFrame, include_open: bool = False, landing: DataFrame | None = None) -> DataFrame:
+    """Data files of every day but the newest, which may still be filling.  A lone day is not closed.
+
+    The newest day is that of ``landing`` where given: of ``files`` alone, a late file's day would seem open.
+    """
     data = files.where("kind = 'data'")
     if include_open:
         return data
-    return data.where(F.col("feed_date") < data.agg(F.max("feed_date")).scalar())
+    every = data if landing is None else landing.where("kind = 'data'")
+    return data.where(F.col("feed_date") < every.agg(F.max("feed_date")).scalar())
 
 
 def closed_days(files: DataFrame, include_open: bool = False) -> DataFrame:

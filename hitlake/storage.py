@@ -37,11 +37,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for an intermediate table, in a folder that every executor can reach.
 
     The folder is made in the session's ``spark.checkpoint.dir``, or in a temporary folder only where
-    that is unset (a single-machine run, tests).  It is removed when the application ends.
+    that is unset and the session runs on one machine (tests).  It is removed when the application ends.
     """
     app = spark.sparkContext.applicationId
     if app not in _scratch:
-        root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            root = tempfile.gettempdir()
         _scratch[app] = f"{root.rstrip('/')}/hitlake-{uuid.uuid4().hex}"
         system, target = _file_system(spark, _scratch[app])
         system.mkdirs(target)

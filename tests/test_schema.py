@@ -42,12 +42,11 @@ def test_roles_name_columns():
 
 
 def test_own_spec():
-    schema = schema_from_spec("b:S a10 +a9:L")
+    schema = schema_from_spec("b:S a10 a9:L")
     assert [(f.name, f.dataType.simpleString()) for f in schema] == [
-        ("a9", "bigint"),
-        ("a10", "string"),
         ("b", "smallint"),
-        ("post_a9", "bigint"),
+        ("a10", "string"),
+        ("a9", "bigint"),
     ]
     with pytest.raises(ValueError, match="twice"):
         schema_from_spec("a1..3 a2")
