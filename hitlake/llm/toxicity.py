@@ -55,6 +55,16 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return made, first
 
 
+def _all_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """``features`` of many texts, a bounded run at a time."""
+    rows, counts = [np.zeros((0, len(HEADS)), np.int32)], [np.zeros(1, np.int64)]
+    for run in runs([pa.RecordBatch.from_arrays([texts], names=["text"])], 0, 1 << 20):
+        own, first = features(run.column(0))
+        rows.append(own)
+        counts.append(np.diff(first))
+    return np.concatenate(rows), np.cumsum(np.concatenate(counts))
+
+
 @dataclass
 class Model:
     """Weights, calibration and thresholds."""
@@ -154,12 +164,11 @@ def train(texts: pa.Array, labels: np.ndarray, langs: list, steps: int = 1000, s
     model.bias = float(np.log(share / (1 - share)))
     if not len(labels) or labels.min() == labels.max():
         return model
-    rows, first = features(texts)
+    rows, first = _all_features(texts)
     # Only words of several texts are learnt: those of one text would just name it.  The others stay at zero.
-    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
     seen = np.zeros(len(model.words), np.int32)
-    for column in rows.T:
-        seen += np.bincount(np.unique(column.astype(np.int64) * len(first) + text) // len(first), minlength=len(seen))
+    for n in range(len(first) - 1):
+        seen[np.unique(rows[first[n] : first[n + 1]])] += 1
     known = seen >= LEAST_TEXTS
     model.words[~known] = 0
     held = np.arange(len(labels)) % 5 == 4
@@ -167,7 +176,7 @@ def train(texts: pa.Array, labels: np.ndarray, langs: list, steps: int = 1000, s
     words, filters = _Steps(model.words, 0.05), [_Steps(f, 0.03) for f in model.filters]
     weights, bias = _Steps(model.weights, 0.05), _Steps(np.array([model.bias], np.float32), 0.05)
     kept = np.flatnonzero(held)
-    kept_rows, kept_first = features(texts.take(pa.array(kept)))
+    kept_rows, kept_first = _all_features(texts.take(pa.array(kept)))
     best, kept_best, looks = np.inf, None, 0
     batches = max(1, len(fitted) // 48)
     for step in range(steps):
