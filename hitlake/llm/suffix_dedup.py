@@ -33,7 +33,9 @@ from hitlake.storage import scratch_path
 LENGTH, GRAM = 50, 24
 _REACH = LENGTH - GRAM + 1  # places of an anchor within a window
 #: Bytes of text for each bucket of anchors.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 1 << 20
+#: Bytes of text in a shard.
+SHARD_BYTES = 2 << 20
 _NONE = np.iinfo(np.int64).max
 
 _SHARD = "shard bigint, ids binary, lengths binary, body binary"
@@ -41,7 +43,7 @@ _SHARD = "shard bigint, ids binary, lengths binary, body binary"
 
 def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     base = TaskContext.get().partitionId() << 32
-    for number, run in enumerate(runs(batches)):
+    for number, run in enumerate(runs(batches, limit=SHARD_BYTES)):
         data, offsets = byte_view(run.column(1))
         yield pa.RecordBatch.from_pydict(
             {
@@ -67,7 +69,7 @@ class Stretches:
             self.hash, self.doc = np.zeros(0, np.uint64), np.zeros(0, np.int64)
             return
         grams = np.arange(len(self.data) - GRAM + 1)
-        value, place = self.hasher.spans(grams, grams + GRAM), grams
+        value, place = self.hasher.spans(grams, grams + GRAM), grams.astype(np.int32)
         width = 1
         while width < _REACH:  # the smallest of the next ``width`` grams, the first of equals
             step = min(width, _REACH - width)
@@ -77,7 +79,7 @@ class Stretches:
             width += step
         doc = np.searchsorted(self.offsets, np.arange(count), "right") - 1
         whole = np.flatnonzero(np.arange(count) + LENGTH <= self.offsets[doc + 1])
-        anchor, doc = place[whole], doc[whole]
+        anchor, doc = place[whole].astype(np.int64), doc[whole]
         heads = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])])) if len(whole) else whole
         self.begin = whole[heads]
         self.end = whole[np.append(heads[1:], len(whole)) - 1] + 1 if len(whole) else whole  # of window starts
@@ -276,15 +278,17 @@ def first_documents(stretches: np.ndarray, lengths: np.ndarray, least: np.ndarra
 
 def _sorted_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per shard and bucket, the smallest document of every window of its stretches."""
-    held: dict[int, list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]] = {}
+    held: dict[int, list[tuple[int, bytes]]] = {}
     for batch in batches:
         for bucket, shard, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            held.setdefault(bucket, []).append((shard, body))
+    for bucket in list(held):  # one bucket is unpacked at a time
+        parts = []
+        for shard, body in held.pop(bucket):
             raw = zstandard.decompress(body)
             size = int(np.frombuffer(raw, "<i8", 1)[0])
             least, lengths = np.frombuffer(raw, "<i8", size, 8), np.frombuffer(raw, "<i8", size, 8 + 8 * size)
-            held.setdefault(bucket, []).append((shard, least, lengths, np.frombuffer(raw, np.uint8, -1, 8 + 16 * size)))
-    for bucket in list(held):
-        parts = held.pop(bucket)
+            parts.append((shard, least, lengths, np.frombuffer(raw, np.uint8, -1, 8 + 16 * size)))
         text, lengths, least = (np.concatenate([p[k] for p in parts]) for k in (3, 2, 1))
         ends = np.cumsum(lengths)
         content = Hasher(text).spans(ends - lengths, ends)
