@@ -38,8 +38,8 @@ UNKNOWN = 10.0
 #: Characters of a word that is searched together with others (its piece lengths fit one integer), and words
 #: searched together.
 TOGETHER, BATCH = 16, 10_000
-#: Distinct words whose segmentations a worker remembers.
-MEMORY = 1_000_000
+#: Distinct words that a worker remembers, for each result wanted: searching again costs more the more there are.
+MEMORY = 250_000
 
 
 def default_model() -> str:
@@ -326,7 +326,7 @@ class Encoder:
         """The N best segmentations of each text as (score, little-endian 32-bit ids), best first."""
         split = self.lattice.split.findall
         parts = [split(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        if len(self.number) > MEMORY:
+        if len(self.number) > MEMORY * self.count:
             self.forget()
         fresh = sorted(set().union(*parts) - self.number.keys())
         self.learn(fresh)
