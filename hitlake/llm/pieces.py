@@ -38,6 +38,8 @@ UNKNOWN = 10.0
 #: Characters of a word that is searched together with others (its piece lengths fit one integer), and words
 #: searched together.
 TOGETHER, BATCH = 16, 10_000
+#: Bytes of text encoded at once.
+ENCODED_BYTES = 2 << 20
 #: Distinct words that a worker remembers, for each result wanted: searching again costs more the more there are.
 MEMORY = 250_000
 
@@ -410,7 +412,7 @@ def encode(texts: DataFrame, n_best: int = 1, text: str = "text", model_file: st
 
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _encoder(model_file, n_best)
-        for run in runs(batches):
+        for run in runs(batches, limit=ENCODED_BYTES):
             found = own.segment_all(run.column(1).to_pylist())
             scores = pa.array([[s for s, _ in f] for f in found], pa.list_(pa.float64()))
             columns, names = [run.column(0), _ids([f[0][1] for f in found]), scores], ["row", "ids", "scores"]
@@ -419,6 +421,7 @@ def encode(texts: DataFrame, n_best: int = 1, text: str = "text", model_file: st
                 starts = pa.array(np.cumsum([0, *(len(f) - 1 for f in found)]), pa.int32())
                 columns, names = [*columns, pa.ListArray.from_arrays(starts, flat)], [*names, "others"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
+        own.forget()  # the worker goes on to other stages
 
     schema = rows.select("row").schema.add("ids", _IDS).add("scores", T.ArrayType(T.DoubleType()))
     if n_best > 1:
@@ -448,7 +451,7 @@ def digests(texts: DataFrame, key: str = "doc_id", n_best: int = 4, text: str =
 
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _encoder(model_file, n_best)
-        for run in runs(batches):
+        for run in runs(batches, limit=ENCODED_BYTES):
             given = run.column(1).to_pylist()
             found = own.segment_all(given)
             back = [own.lattice.text(np.frombuffer(f[0][1], "<i4").tolist()) == (t or "") for f, t in zip(found, given, strict=True)]

@@ -295,7 +295,7 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
 
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for run in runs(batches):
+        for run in runs(batches, limit=1 << 20):
             limit = pa.array([own.thresholds.get(lang, 0.5) for lang in run.column(2).to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([run.column(0), pa.array(own.scores(run.column(1)), pa.float64()), limit], names=["row", "toxic_score", "toxic_threshold"])
 
