@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitlake.operators.enrich import enrich, list_lookup
-from hitlake.plans.lake import business_join, hits_on, not_loaded, refresh, register, write_hits
+from hitlake.plans.lake import add_columns, business_join, hits_on, not_loaded, refresh, register, write_hits
 from hitlake.plans.ledger import mark_done, pending, read_ledger
 from hitlake.plans.load import load
 from hitlake.sources.bundle import as_lookup, extract_lines, parse_lines
@@ -28,7 +28,7 @@ from hitlake.sources.landing import (
     removable,
 )
 from hitlake.sources.schema import DEFAULT_ROLES, hit_schema
-from hitlake.storage import scratch_path, write_bytes
+from hitlake.storage import remove, scratch_path, write_bytes
 from hitlake.streaming.ingest import ingest
 
 try:  # The training-data operators are an optional part.
@@ -105,22 +105,27 @@ def _archive(members: dict[str, list[str]]) -> bytes:
     return packed.getvalue()
 
 
+def _write_feed(spark: SparkSession, sf_dir: str, path: str, late: bool = False) -> None:
+    """`events` as gzipped TSV files per day.  ``late`` puts every fifth hit into the file of the next day."""
+    file_day = F.date_add("ts", (F.col("event_id") % 5 == 0).cast("int")) if late else F.col("ts")
+    feed = _table(spark, sf_dir, "events").select(
+        "event_id",
+        F.col("ts").alias("date_time"),
+        "user_id",
+        "event_type",
+        "value",
+        (F.col("user_id") % 30).alias("nation"),
+        F.date_format(file_day, "yyyyMMdd").alias("feed_day"),
+    )
+    writer = feed.hint("rebalance", F.col("feed_day")).write.partitionBy("feed_day")
+    writer.options(sep="\t", compression="gzip").csv(path)
+
+
 def _feed(spark: SparkSession, sf_dir: str) -> str:
     """`events` as a landing area: gzipped TSV files per day, and a bundle that holds `nation`."""
 
     def make(path: str) -> None:
-        events = _table(spark, sf_dir, "events")
-        feed = events.select(
-            "event_id",
-            F.col("ts").alias("date_time"),
-            "user_id",
-            "event_type",
-            "value",
-            (F.col("user_id") % 30).alias("nation"),
-            F.date_format("ts", "yyyyMMdd").alias("feed_day"),
-        )
-        writer = feed.hint("rebalance", F.col("feed_day")).write.partitionBy("feed_day")
-        writer.options(sep="\t", compression="gzip").csv(path)
+        _write_feed(spark, sf_dir, path)
         bundle = _nation_bundle(spark, sf_dir, ["nation"])
         write_bytes(spark, f"{path}/suite_20240101-000000-lookup_data.tar.gz", bundle)
 
@@ -383,6 +388,70 @@ def stream_ingest(spark, sf_dir):
     return spark.read.parquet(target).select("event_id", "nation_id", "nation", "date")
 
 
+def load_counts(spark, sf_dir):
+    """Rows that a load read from the closed days and wrote to the lake."""
+    target, ledger = scratch_path(spark, "counted"), scratch_path(spark, "counted-ledger")
+    roles = [("nation", "nation")]
+    report = load(spark, _feed(spark, sf_dir), target, ledger, FEED_SCHEMA, roles, names=EXPORT_NAMES, unique=True)
+    return spark.createDataFrame([(report.rows_read, report.rows_written)], "n_read bigint, n_written bigint")
+
+
+def late_file_of_closed_day(spark, sf_dir):
+    """A load that finds only the files of one day pending, and newer days in the landing area."""
+    feed = _feed(spark, sf_dir)
+    target, ledger = scratch_path(spark, "late"), scratch_path(spark, "late-ledger")
+    files = classify(list_landing(spark, feed), EXPORT_NAMES)
+    mark_done(files.where("kind = 'data' AND feed_date <> '20240103'"), ledger)
+    load(spark, feed, target, ledger, FEED_SCHEMA, [("nation", "nation")], names=EXPORT_NAMES)
+    return spark.read.parquet(target).select("event_id", "nation_id", "nation", "date")
+
+
+def stream_late_hits(spark, sf_dir):
+    """A stream whose files hold hits of the day before, read through the catalog."""
+    path, target = scratch_path(spark, "late-feed"), scratch_path(spark, "late-stream")
+    table = f"hit_data_{uuid.uuid4().hex}"
+    _write_feed(spark, sf_dir, path, late=True)
+    names = lambda session: {"nation": _nations(session, sf_dir)}
+    options = {"pattern": "*.csv.gz", "unique": True, "table": table}
+    ingest(spark, path, target, f"{target}-checkpoint", names, FEED_SCHEMA, [("nation", "nation")], **options).awaitTermination()
+    return spark.table(table).select("event_id", "nation_id", "nation", "date")
+
+
+def stream_archive(spark, sf_dir):
+    """The lake after a stream of several batches that moves files away behind it."""
+    path, target = scratch_path(spark, "archived-feed"), scratch_path(spark, "archived-stream")
+    _write_feed(spark, sf_dir, path)
+    lookups = {"nation": _nations(spark, sf_dir)}
+    options = {"pattern": "*.csv.gz", "archive": scratch_path(spark, "archive"), "max_files": 10}
+    ingest(spark, path, target, f"{target}-checkpoint", lookups, FEED_SCHEMA, [("nation", "nation")], **options).awaitTermination()
+    return spark.read.parquet(target).select("event_id", "nation_id", "nation", "date")
+
+
+def sync_partitions(spark, sf_dir):
+    """The partitions of a lake after the folder of one day was removed."""
+    path, table = scratch_path(spark, "synced"), f"hit_data_{uuid.uuid4().hex}"
+    events = _daily_events(spark, sf_dir)
+    write_hits(events, path)
+    register(spark, table, path, events)
+    refresh(spark, table)
+    remove(spark, f"{path}/date=2024-01-05")
+    refresh(spark, table, sync=True)
+    return spark.sql(f"SHOW PARTITIONS {table}")
+
+
+def new_columns(spark, sf_dir):
+    """A lake whose later hits have a column that the earlier ones lack."""
+    path, table = scratch_path(spark, "widened"), f"hit_data_{uuid.uuid4().hex}"
+    events = _daily_events(spark, sf_dir)
+    earlier, later = events.where("event_type <> 'view'").drop("value"), events.where("event_type = 'view'")
+    write_hits(earlier, path)
+    register(spark, table, path, earlier)
+    write_hits(later, path)
+    add_columns(spark, table, later)
+    refresh(spark, table)
+    return spark.table(table).select("event_id", "event_type", "value", "date")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Enrich a day-partitioned lake of `events`, then query one day of it."""
     sf_dir = "/root/testdata/sf0.001"
@@ -427,6 +496,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_load": daily_load,
         "standard_load": standard_load,
         "stream_ingest": stream_ingest,
+        "load_counts": load_counts,
+        "late_file_of_closed_day": late_file_of_closed_day,
+        "stream_late_hits": stream_late_hits,
+        "stream_archive": stream_archive,
+        "sync_partitions": sync_partitions,
+        "new_columns": new_columns,
         **(llm_queries.queries() | {"pipeline": corpus_pipeline.run} if llm_queries else {}),
     }
 
@@ -443,6 +518,8 @@ _ALL_FILES = f"""WITH f AS (
   UNION SELECT DISTINCT {_DATA}) """
 _FEED_DATE = r"SELECT path, regexp_extract(path, '_(\d{8})-\d{6}\.tsv\.gz$', 1) AS feed_date FROM f"
 _EVENTS_BY_DATE = "SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS date FROM events"
+_STREAMED = """SELECT event_id, user_id % 30 AS nation_id, n_name AS nation, CAST(ts AS DATE) AS date
+            FROM events LEFT JOIN nation ON user_id % 30 = n_nationkey"""
 _SCAN = "SELECT event_id, user_id, event_type, value FROM events"
 _LISTS = """SELECT k, string_agg(coalesce(n_name, tok), ',' ORDER BY pos) AS names
   FROM (SELECT event_id AS k, unnest([1, 2, 3]) AS pos,
@@ -522,7 +599,15 @@ def oracle_sql() -> dict[str, str]:
             FROM events LEFT JOIN nation ON user_id % 30 = n_nationkey
             WHERE CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM events)""",
         "standard_load": _standard_sql(),
-        "stream_ingest": """SELECT event_id, user_id % 30 AS nation_id, n_name AS nation, CAST(ts AS DATE) AS date
-            FROM events LEFT JOIN nation ON user_id % 30 = n_nationkey""",
+        "stream_ingest": _STREAMED,
+        "load_counts": """SELECT count(*) AS n_read, count(*) AS n_written FROM events
+            WHERE CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM events)""",
+        "late_file_of_closed_day": _STREAMED + " WHERE CAST(ts AS DATE) = DATE '2024-01-03'",
+        "stream_late_hits": _STREAMED,
+        "stream_archive": _STREAMED,
+        "sync_partitions": """SELECT DISTINCT 'date='||CAST(CAST(ts AS DATE) AS VARCHAR) AS partition FROM events
+            WHERE CAST(ts AS DATE) <> DATE '2024-01-05'""",
+        "new_columns": """SELECT event_id, event_type, CASE WHEN event_type = 'view' THEN value END AS value,
+              CAST(ts AS DATE) AS date FROM events""",
         **(llm_queries.oracle_sql() if llm_queries else {}),
     }

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitlake.operators.enrich import enrich
-from hitlake.operators.lookup_join import BROADCAST_BYTES, INLINE_ROWS, prepare
+from hitlake.operators.lookup_join import BROADCAST_BYTES, INLINE_ROWS, Lookup, prepare
 from hitlake.plans.lake import add_columns, not_loaded, refresh, register, write_hits
 from hitlake.plans.ledger import mark_done, pending, read_ledger
 from hitlake.sources.bundle import lookup_table, read_lookups
@@ -52,6 +52,7 @@ def check_counts(read: int, written: int, exact: bool) -> None:
 
 
 def _observed(count: Observation, rows: DataFrame) -> int:
+    """What was counted while ``rows`` were written."""
     try:
         return count.get["n"]
     except Py4JJavaError:
@@ -68,6 +69,25 @@ def _held(spark: SparkSession, target: str) -> int:
     return spark.read.parquet(target).count()
 
 
+def append_counted(
+    hits: DataFrame, ready: Mapping[str, Lookup], roles: Sequence[tuple[str, str]], target: str, clustered: bool, exact: bool
+) -> tuple[int, int, DataFrame]:
+    """Enrich and append hits, and check that none was lost: rows read, rows written, and the enriched hits.
+
+    Counts taken before a shuffle can include rows of tasks that were run again.  Where a lookup is too large to
+    broadcast, the rows are therefore counted on their own, and the lake before and after.
+    """
+    spark = hits.sparkSession
+    countable = all(lookup.n_bytes <= BROADCAST_BYTES for lookup in ready.values())
+    before, counted = (0, 0) if countable else (_held(spark, target), hits.count())
+    read, written, rows = Observation(), Observation(), F.count(F.lit(1)).alias("n")
+    enriched = enrich(hits.observe(read, rows), ready, roles).observe(written, rows)
+    write_hits(enriched, target, clustered=clustered)
+    n_read, n_written = (_observed(read, hits), _observed(written, enriched)) if countable else (counted, _held(spark, target) - before)
+    check_counts(n_read, n_written, exact)
+    return n_read, n_written, enriched
+
+
 def load(
     spark: SparkSession,
     source: str,
@@ -107,7 +127,6 @@ def load(
     n_files = n_read = n_written = 0
     try:
         ready = prepare({name: lookups[name] for name, _ in roles}, unique, INLINE_ROWS)
-        countable = all(lookup.n_bytes <= BROADCAST_BYTES for lookup in ready.values())
         for page in file_pages(closed_files(todo, include_open, landing), page_size):
             sizes_by_day: dict[str, int] = {}
             for row in page:
@@ -118,26 +137,18 @@ def load(
             hits = with_date(drop_empty(raw), timestamp)
             if dedupe_on:
                 hits = not_loaded(hits, target, dedupe_on)
-            # Counts taken before a shuffle can include rows of tasks that were run again; then the rows are
-            # counted on their own, and the lake before and after.
-            before, counted = (0, 0) if countable else (_held(spark, target), hits.count())
-            read, written = Observation(), Observation()
-            rows = F.count(F.lit(1)).alias("n")
-            enriched = enrich(hits.observe(read, rows), ready, roles).observe(written, rows)
-            write_hits(enriched, target, clustered=True)
-            if countable:
-                page_read, page_written = _observed(read, hits), _observed(written, enriched)
-            else:
-                page_read, page_written = counted, _held(spark, target) - before
-            check_counts(page_read, page_written, exact=unique)
+            page_read, page_written, enriched = append_counted(hits, ready, roles, target, True, unique)
             done = spark.createDataFrame([(r["path"], r["feed_date"]) for r in page], "path string, feed_date string")
             mark_done(done.coalesce(1), ledger)
             n_files, n_read, n_written = n_files + len(page), n_read + page_read, n_written + page_written
             if table:
                 register(spark, table, target, enriched)
                 add_columns(spark, table, enriched)
-        mark_done(removable(todo), ledger)
-        if table and n_files:
+        rest = removable(todo)
+        if not rest.isEmpty():
+            mark_done(rest.coalesce(1), ledger)
+        # Also with no files: an earlier load may have ended between its write and this line.
+        if table and (n_files or spark.catalog.tableExists(table)):
             refresh(spark, table)
     finally:
         for frame in (todo, landing, combined):

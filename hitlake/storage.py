@@ -33,6 +33,12 @@ def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
         out.close()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder with all that is in it."""
+    system, target = _file_system(spark, path)
+    system.delete(target, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for an intermediate table, in a folder that every executor can reach.
 

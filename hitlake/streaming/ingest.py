@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from hitlake.operators.enrich import enrich
 from hitlake.operators.lookup_join import INLINE_ROWS, prepare
-from hitlake.plans.lake import write_hits
-from hitlake.plans.ledger import mark_done, read_ledger
+from hitlake.plans.lake import add_columns, refresh, register
+from hitlake.plans.load import append_counted
 from hitlake.sources.hits import drop_empty, parse_hits, spread_lines, with_date
 from hitlake.sources.schema import DEFAULT_ROLES, hit_schema
+from hitlake.storage import exists, write_bytes
 
 
 def ingest(
@@ -21,7 +21,7 @@ def ingest(
     source: str,
     target: str,
     checkpoint: str,
-    lookups: Mapping[str, DataFrame],
+    lookups: Mapping[str, DataFrame] | Callable[[SparkSession], Mapping[str, DataFrame]],
     schema: T.StructType | None = None,
     roles: Sequence[tuple[str, str]] = DEFAULT_ROLES,
     timestamp: str = "date_time",
@@ -30,14 +30,21 @@ def ingest(
     max_files: int | None = None,
     tasks: int | None = None,
     trigger: Mapping[str, object] | None = None,
+    unique: bool = False,
+    table: str | None = None,
 ) -> StreamingQuery:
     """Start a stream that appends new hit files to the lake; by default it ends when it has caught up.
 
     The join is with static lookups and the sink is an append by the hit's own day, so there is no state
     and a late hit simply goes to its day.  ``archive`` moves a file away once a later batch is through.
-    ``tasks`` spreads the parsing of a batch over that many tasks.
+    ``tasks`` spreads the parsing of a batch over that many tasks.  ``lookups`` may be a function, which is
+    called for every batch: so a stream that runs for long takes its names from the newest bundle.
 
-    A batch that was written is noted in a ledger beside the checkpoint, and skipped if Spark replays it.
+    Each batch's hits are counted before and after enrichment, as a load's are; a batch that lost some
+    (or, with ``unique``, added some) fails the stream and is not noted.  ``table`` is registered, gets new
+    columns, and shows each batch's partitions once the batch is written.
+
+    A batch that was written is noted by a file beside the checkpoint, and skipped if Spark replays it.
     """
     schema = hit_schema() if schema is None else schema
     reader = spark.readStream.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
@@ -45,18 +52,27 @@ def ingest(
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    ready = prepare({name: lookups[name] for name, _ in roles}, inline_rows=INLINE_ROWS)
+
+    def prepared(given: Mapping[str, DataFrame]):
+        return prepare({name: given[name] for name, _ in roles}, unique, INLINE_ROWS)
+
+    fixed = None if callable(lookups) else prepared(lookups)
     written = f"{checkpoint.rstrip('/')}-batches"
 
     def append(lines: DataFrame, batch: int) -> None:
         session = lines.sparkSession
-        mark = str(batch)
-        if not read_ledger(session, written).where(f"path = '{mark}'").isEmpty():
+        mark = f"{written}/{batch}"
+        if exists(session, mark):
             return
+        ready = prepared(lookups(session)) if fixed is None else fixed
         spread = spread_lines(lines, tasks) if tasks else lines
         hits = with_date(drop_empty(parse_hits(spread, schema)), timestamp)
-        write_hits(enrich(hits, ready, roles), target, clustered=bool(tasks))
-        mark_done(session.createDataFrame([(mark, None)], "path string, feed_date string").coalesce(1), written)
+        _, _, enriched = append_counted(hits, ready, roles, target, bool(tasks), unique)
+        if table:
+            register(session, table, target, enriched)
+            add_columns(session, table, enriched)
+            refresh(session, table)
+        write_bytes(session, mark, b"")
 
     stream = reader.text(source).writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     return stream.trigger(**(trigger or {"availableNow": True})).start()

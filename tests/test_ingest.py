@@ -86,3 +86,29 @@ def test_stream_and_load_agree(spark, tmp_path):
     roles = [("browser", "browser")]
     load(spark, str(incoming), target, str(tmp_path / "ledger"), SCHEMA, roles, include_open=True)
     assert rows(spark.read.parquet(target).select("n", "browser_id", "browser", "date")) == streamed
+
+
+def test_names_per_batch_gate_and_table(spark, tmp_path):
+    incoming = tmp_path / "incoming"
+    names = [(1, "A")]
+
+    def lookups(session):
+        return {"browser": session.createDataFrame(names, "id bigint, name string")}
+
+    def go(**options):
+        paths = [str(tmp_path / name) for name in ("incoming", "lake", "checkpoint")]
+        ingest(spark, *paths, lookups, SCHEMA, [("browser", "browser")], table="streamed_hits", **options).awaitTermination()
+
+    write_gz(incoming / "01-suite_20240101-000000.tsv.gz", [hit(1, 1)])
+    go()
+    names[:] = [(1, "B")]
+    write_gz(incoming / "01-suite_20240102-000000.tsv.gz", [hit(2, 2)])
+    go(unique=True)
+    found = rows(spark.table("streamed_hits").select("n", "browser", "date"))
+    assert found == [(1, "A", day(1)), (2, "B", day(2))]
+    names.append((1, "C"))
+    write_gz(incoming / "01-suite_20240103-000000.tsv.gz", [hit(3, 3)])
+    with pytest.raises(Exception, match="more than once"):
+        go(unique=True)
+    assert spark.table("streamed_hits").count() == 2
+    spark.sql("DROP TABLE streamed_hits")
