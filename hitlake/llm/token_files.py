@@ -10,7 +10,9 @@ Null and empty texts are just their end id.  A text longer than a shard is a sha
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -25,6 +27,8 @@ from hitlake.storage import scratch_path
 #: Ids of a shard, about, and code points encoded at once.
 SHARD_IDS, BATCH_CHARS = 1 << 19, 1 << 20
 END_ID = 2
+#: Words a worker remembers, the longest of them, and words encoded as one text.
+MEMORY_WORDS, MEMORY_CHARS, JOINED_WORDS = 1 << 19, 64, 200
 
 
 def default_vocabulary() -> str:
@@ -127,18 +131,77 @@ def unpack(size: int, planes: np.ndarray) -> np.ndarray:
     return value
 
 
-_vocabularies: dict[str, object] = {}
+class Encoder:
+    """Ids of texts by one vocabulary file, where the ids of a word seen before are remembered.
 
+    A byte-level vocabulary never joins a space and a visible character after it to what stands before them, so a text
+    is cut there and only words not seen before go to the library, many of them as one text; the bytes that each id
+    stands for tell their ids apart.  Any other vocabulary encodes whole texts.
+    """
 
-def _vocabulary(path: str):
-    if path not in _vocabularies:
+    #: Before a space and a character that no version of Unicode takes for white space.
+    CUT = re.compile("(?= [!-~\u00a1-\u167f])")
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        own = Tokenizer.from_file(path)
-        own.encode_special_tokens = True
-        _vocabularies[path] = own
-    return _vocabularies[path]
+        self.own = Tokenizer.from_file(path)
+        self.own.encode_special_tokens = True
+        self.size = self.own.get_vocab_size()
+        form = json.loads(self.own.to_str())
+        splits = form["pre_tokenizer"] or {}
+        self.bytewise = form["normalizer"] is None and splits.get("type") == "ByteLevel" and splits["use_regex"] and not splits["add_prefix_space"]
+        if self.bytewise:
+            self.widths = np.zeros(self.size, np.int64)
+            for token, n in self.own.get_vocab(with_added_tokens=False).items():
+                self.widths[n] = len(token)  # a character for each byte
+        self.known: dict[str, bytes] = {}
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(made.ids, np.uint32) for made in self.own.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> Iterator[bytes]:
+        groups = [words[n : n + JOINED_WORDS] for n in range(0, len(words), JOINED_WORDS)]
+        for group, ids in zip(groups, self._whole(["".join(g) for g in groups]), strict=True):
+            reached = np.cumsum(self.widths[ids])
+            ends = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in group])
+            cuts = np.searchsorted(reached, ends)
+            if len(reached) and not (reached[cuts] == ends).all():
+                raise ValueError("the vocabulary joins words")
+            body, begin = ids.tobytes(), 0
+            for cut in (4 * cuts + 4).tolist():
+                yield body[begin:cut]
+                begin = cut
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if not self.bytewise:
+            return self._whole(texts)
+        cut = [self.CUT.split(text) for text in texts]
+        if len(self.known) > MEMORY_WORDS:
+            self.known.clear()
+        new = set().union(*cut) - self.known.keys() - {""}
+        # a text's first word may lack the space that sets it apart, so such words are not joined
+        first = [w for w in new.intersection(words[0] for words in cut) if not self.CUT.match(w)]
+        rest = list(new.difference(first))
+        known = self.known
+        known[""] = b""
+        known.update(zip(rest, self._words(rest), strict=True))
+        known.update((w, ids.tobytes()) for w, ids in zip(first, self._whole(first), strict=True))
+        made = [np.frombuffer(b"".join(map(known.__getitem__, words)), np.uint32) for words in cut]
+        for word in new:
+            if len(word) > MEMORY_CHARS:
+                del known[word]
+        return made
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(path: str) -> Encoder:
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 _SHARD = "range int, place bigint, n_ids bigint, levels int, doc_ids array<bigint>, starts array<int>, planes binary"
@@ -146,8 +209,8 @@ _SHARD = "range int, place bigint, n_ids bigint, levels int, doc_ids array<bigin
 
 def _writer(path: str, end_id: int):
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _vocabulary(path)
-        levels = max(1, int(max(own.get_vocab_size() - 1, end_id)).bit_length())
+        own = _encoder(path)
+        levels = max(1, int(max(own.size - 1, end_id)).bit_length())
         kind = np.uint16 if levels <= 16 else np.uint32
         number, place, docs, parts, size = None, 0, [], [], 0
 
@@ -177,13 +240,12 @@ def _writer(path: str, end_id: int):
                 while end < len(texts) and (end == begin or chars + len(texts[end]) <= BATCH_CHARS):
                     chars += len(texts[end])
                     end += 1
-                encoded = own.encode_batch_fast(texts[begin:end], add_special_tokens=False)
-                for at, made in enumerate(encoded, begin):
+                for at, made in enumerate(own.encode(texts[begin:end]), begin):
                     if docs and (ranges[at] != number or size >= SHARD_IDS):
                         yield shard()
                     if ranges[at] != number:
                         number, place = ranges[at], 0
-                    ids = np.array([*made.ids, end_id], np.uint32)
+                    ids = np.append(made, np.uint32(end_id))
                     docs.append(keys[at])
                     parts.append(ids)
                     size += len(ids)

@@ -252,7 +252,7 @@ def test_wavelet_matrix():
 
 
 def test_token_files(spark, docs, odd, none, tmp_path):
-    own = token_files._vocabulary(token_files.default_vocabulary())
+    own = token_files._encoder(token_files.default_vocabulary()).own
     for n, frame in enumerate((docs, odd, none)):
         expected, at = [], 0
         for key, text in sorted(pairs(frame), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode())):
@@ -266,6 +266,20 @@ def test_token_files(spark, docs, odd, none, tmp_path):
     assert ends.select("doc_id").distinct().count() == docs.count()
 
 
+def test_remembered_words(docs, monkeypatch):
+    texts = ["", " ", "a", " a", "a  b", "a \n b\n\n c \t", "  x\u00a0 y\u2003z \u2003 w", "\u2003 a", "it's 12 o'clock'll <|endoftext|> x", "\x1c a\x85 b \u3000c", "日本 語 ñandú é\r\n é", "x" * 500 + " " + "y z" * 90]
+    texts += [t for _, t in pairs(docs)]
+    draw = random.Random(5)
+    texts += ["".join(draw.choice(" \n\t\u00a0\u2003ab'1.é日") for _ in range(draw.randrange(40))) for _ in range(500)]
+    own = token_files.Encoder(token_files.default_vocabulary())
+    expected = [e.ids for e in own.own.encode_batch(texts, add_special_tokens=False)]
+    monkeypatch.setattr(token_files, "MEMORY_WORDS", 50)
+    for step in (1, 97, len(texts)):
+        assert [ids.tolist() for n in range(0, len(texts), step) for ids in own.encode(texts[n : n + step])] == expected
+    own.bytewise = False
+    assert [ids.tolist() for ids in own.encode(texts)] == expected
+
+
 # 7 -------------------------------------------------------------------------------------------------
 
 
