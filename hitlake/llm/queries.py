@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlake.llm import fingerprints, jaccard_join, main_text, perspectives, phrase_index, pieces, private_data, suffix_dedup, token_files, toxicity
+from hitlake.llm import fingerprints, jaccard_join, lexical_search, main_text, perspectives, phrase_index, pieces, private_data, spelling, suffix_dedup, token_files, toxicity, vector_graph
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,6 +109,42 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.components(_table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    found = lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+    return found.withColumnRenamed("item", "item_id")
+
+
+_SEARCH_SQL = r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+     d AS (SELECT r, doc_id, count(*) AS n FROM t GROUP BY r, doc_id),
+     s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM d),
+     p AS (SELECT r, term, count(*) AS tf FROM t GROUP BY r, term),
+     i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+     w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * max(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight
+           FROM p, s GROUP BY term),
+     m AS (SELECT r, doc_id, 100 - 90 + (90 * n * docs) // total AS m FROM d, s),
+     x AS (SELECT item_id, doc_id, r, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+           FROM i JOIN p USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY item_id, doc_id, r)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM x WHERE score > 0)
+WHERE rank <= 10"""
+
+
+def op12_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links and components of every vector within its label."""
+    return vector_graph.links(_table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with the form that it is a variant of."""
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -121,8 +157,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_perspectives": op8_perspectives,
         "op9_toxicity": op9_toxicity,
         "op10_jaccard_join": op10_jaccard_join,
+        "op11_lexical_search": op11_lexical_search,
+        "op12_vector_graph": op12_vector_graph,
+        "op13_spelling": op13_spelling,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_perspectives": _PERSPECTIVES_SQL}
+    return {"op8_perspectives": _PERSPECTIVES_SQL, "op11_lexical_search": _SEARCH_SQL}
