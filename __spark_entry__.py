@@ -6,6 +6,7 @@ import io
 import tarfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from hitlake.operators.enrich import enrich, list_lookup
 from hitlake.plans.lake import add_columns, business_join, hits_on, not_loaded, refresh, register, write_hits
 from hitlake.plans.ledger import mark_done, pending, read_ledger
 from hitlake.plans.load import load
+from hitlake.plans.publish import STEPS, finish, publish, stage
 from hitlake.sources.bundle import as_lookup, extract_lines, parse_lines
 from hitlake.sources.hits import drop_empty, read_hits, read_hits_spread, with_date
 from hitlake.sources.landing import (
@@ -27,6 +29,7 @@ from hitlake.sources.landing import (
     list_landing,
     removable,
 )
+from hitlake.sources.manifest import listed_files, manifest_days, parse_manifests
 from hitlake.sources.schema import DEFAULT_ROLES, hit_schema
 from hitlake.storage import remove, scratch_path, write_bytes
 from hitlake.streaming.ingest import ingest
@@ -452,6 +455,60 @@ def new_columns(spark, sf_dir):
     return spark.table(table).select("event_id", "event_type", "value", "date")
 
 
+class _Stopped(RuntimeError):
+    pass
+
+
+def crash_recovery(spark, sf_dir):
+    """A backlog loaded by one load after another, each of which stops after another step."""
+    target, ledger = scratch_path(spark, "stopped"), scratch_path(spark, "stopped-ledger")
+    for step in STEPS:
+
+        def stop(done: str, step: str = step) -> None:
+            if done == step:
+                raise _Stopped(step)
+
+        with suppress(_Stopped):
+            load(spark, _feed(spark, sf_dir), target, ledger, FEED_SCHEMA, [("nation", "nation")], names=EXPORT_NAMES, page_size=4, stop=stop)
+    load(spark, _feed(spark, sf_dir), target, ledger, FEED_SCHEMA, [("nation", "nation")], names=EXPORT_NAMES)
+    return spark.read.parquet(target).select("event_id", "event_type", "value", "nation_id", "nation", "date")
+
+
+def load_checksums(spark, sf_dir):
+    """Rows that a load read and wrote, and whether both are the same multiset."""
+    target, ledger = scratch_path(spark, "summed"), scratch_path(spark, "summed-ledger")
+    report = load(spark, _feed(spark, sf_dir), target, ledger, FEED_SCHEMA, [("nation", "nation")], names=EXPORT_NAMES, page_size=10)
+    found = (report.read.rows, report.written.rows, report.read == report.written)
+    return spark.createDataFrame([found], "n_read bigint, n_written bigint, same boolean")
+
+
+def manifest_closed_days(spark, sf_dir):
+    """Days told closed by manifests: on some a file is missing, on some one is short, on some one is not listed."""
+    hours = _table(spark, sf_dir, "events").groupBy(F.date_trunc("hour", "ts").alias("t")).agg(F.count("*").alias("length"))
+    week, odd = F.dayofmonth("t") % 7, F.hour("t") == 5
+    name = F.concat(F.lit("01-suite_"), F.date_format("t", "yyyyMMdd-HH"), F.lit("0000.tsv.gz"))
+    block = F.concat(F.lit("Data-File: "), name, F.lit("\nFile-Size: "), F.col("length").cast("string"), F.lit("\n"))
+    manifest = F.concat(F.lit("incoming/suite_"), F.date_format("t", "yyyy-MM-dd"), F.lit(".txt"))
+    # One manifest a day: it lists at most 24 files.
+    texts = hours.where(~((week == 3) & odd)).groupBy(manifest.alias("manifest")).agg(F.array_join(F.sort_array(F.collect_list(block)), "\n").alias("value"))
+    landed = hours.where(~((week == 1) & odd)).withColumn("length", F.col("length") - ((week == 2) & odd).cast("int"))
+    landing = classify(landed.select(F.concat(F.lit("incoming/"), name).alias("path"), "length"))
+    days = manifest_days(landing, parse_manifests(texts))
+    files = listed_files(landing, parse_manifests(texts)).groupBy("feed_date").agg(F.count("*").alias("n_loaded"))
+    return days.join(files, "feed_date", "left").select("feed_date", "n_listed", "n_missing", "closed", F.coalesce("n_loaded", F.lit(0)).alias("n_loaded"))
+
+
+def touched_partitions(spark, sf_dir):
+    """What the catalog shows after a load of the last days into a lake whose other days were never shown."""
+    target, table = scratch_path(spark, "touched"), f"hit_data_{uuid.uuid4().hex}"
+    events = _daily_events(spark, sf_dir)
+    write_hits(events.where("date <= DATE '2024-01-10'"), target)
+    register(spark, table, target, events)
+    stage(events.where("date > DATE '2024-01-20'"), target, "last")
+    finish(spark, target, publish(spark, target, "last", table=table))
+    return spark.table(table).select("event_id", "user_id", "event_type", "value", "date")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Enrich a day-partitioned lake of `events`, then query one day of it."""
     sf_dir = "/root/testdata/sf0.001"
@@ -502,6 +559,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_archive": stream_archive,
         "sync_partitions": sync_partitions,
         "new_columns": new_columns,
+        "crash_recovery": crash_recovery,
+        "load_checksums": load_checksums,
+        "manifest_closed_days": manifest_closed_days,
+        "touched_partitions": touched_partitions,
         **(llm_queries.queries() | {"pipeline": corpus_pipeline.run} if llm_queries else {}),
     }
 
@@ -609,5 +670,18 @@ def oracle_sql() -> dict[str, str]:
             WHERE CAST(ts AS DATE) <> DATE '2024-01-05'""",
         "new_columns": """SELECT event_id, event_type, CASE WHEN event_type = 'view' THEN value END AS value,
               CAST(ts AS DATE) AS date FROM events""",
+        "crash_recovery": """SELECT event_id, event_type, value, user_id % 30 AS nation_id, n_name AS nation,
+              CAST(ts AS DATE) AS date
+            FROM events LEFT JOIN nation ON user_id % 30 = n_nationkey
+            WHERE CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM events)""",
+        "load_checksums": """SELECT count(*) AS n_read, count(*) AS n_written, true AS same FROM events
+            WHERE CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM events)""",
+        "manifest_closed_days": """WITH h AS (SELECT DISTINCT date_trunc('hour', ts) AS t FROM events),
+              x AS (SELECT strftime(t, '%Y%m%d') AS feed_date, day(t) % 7 AS week, hour(t) = 5 AS odd FROM h),
+              d AS (SELECT feed_date, count(*) AS n_listed, count(*) FILTER (odd AND week IN (1, 2)) AS n_missing
+                    FROM x WHERE NOT (odd AND week = 3) GROUP BY feed_date)
+            SELECT feed_date, n_listed, n_missing, n_missing = 0 AS closed,
+                   CASE WHEN n_missing = 0 THEN n_listed ELSE 0 END AS n_loaded FROM d""",
+        "touched_partitions": _EVENTS_BY_DATE + " WHERE CAST(ts AS DATE) > DATE '2024-01-20'",
         **(llm_queries.oracle_sql() if llm_queries else {}),
     }

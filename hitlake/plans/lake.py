@@ -47,6 +47,20 @@ def refresh(spark: SparkSession, table: str, sync: bool = False) -> None:
     spark.catalog.refreshTable(table)
 
 
+def add_partitions(spark: SparkSession, table: str, dates: Sequence[str | None], most: int = 1000) -> None:
+    """Make the partitions of the given dates visible, without a look at any other.
+
+    None stands for hits without a date.  Beyond ``most`` dates one full :func:`refresh` is cheaper.
+    """
+    if len(dates) > most:
+        refresh(spark, table)
+        return
+    for begin in range(0, len(dates), 100):
+        wanted = ["PARTITION (`date` = " + ("NULL" if day is None else f"DATE '{day}'") + ")" for day in dates[begin : begin + 100]]
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(wanted)}")
+    spark.catalog.refreshTable(table)
+
+
 def add_columns(spark: SparkSession, table: str, hits: DataFrame) -> list[str]:
     """Add the columns of ``hits`` that the table lacks; files written before read as NULL there."""
     known = {field.name.lower() for field in spark.table(table).schema}

@@ -39,9 +39,11 @@ def read_hits(
     return reader.schema(schema).csv(paths if isinstance(paths, str) else list(paths))
 
 
-def parse_hits(lines: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+def parse_hits(lines: DataFrame, schema: T.StructType | None = None, line_hash: str | None = None) -> DataFrame:
     """Parse raw lines (``value``) as :func:`read_hits` would; works on streams too.
 
+    ``line_hash`` adds a column with a hash of the raw line, which identifies a hit in checksums.
+
     The parsed row comes out of a generator, so that each line is parsed once however many of its
     columns are used: a filter on many columns is not pushed below it.
     """
@@ -49,7 +51,8 @@ def parse_hits(lines: DataFrame, schema: T.StructType | None = None) -> DataFram
     ddl = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
     options = {key: value for key, value in TSV_OPTIONS.items() if key != "encoding"}
     filled = lines.where(F.col("value").rlike(r"[^\x00-\x20]"))
-    return filled.select(F.inline(F.array(F.from_csv("value", ddl, options))))
+    identity = [F.xxhash64("value").alias(line_hash)] if line_hash else []
+    return filled.select(*identity, F.inline(F.array(F.from_csv("value", ddl, options))))
 
 
 def spread_lines(lines: DataFrame, tasks: int) -> DataFrame:
@@ -85,6 +88,7 @@ def read_hits_spread(
     tasks: int | Mapping[str, int],
     schema: T.StructType | None = None,
     day_pattern: str = FEED_NAMES.day_pattern,
+    line_hash: str | None = None,
 ) -> DataFrame:
     """Scan hit files for a full load: parse in ``tasks`` tasks rather than one per gzipped file.
 
@@ -96,7 +100,7 @@ def read_hits_spread(
     """
     lines = spark.read.text(list(paths))
     spread = spread_lines(lines, tasks) if isinstance(tasks, int) else _spread_by_day(lines, tasks, day_pattern)
-    return parse_hits(spread, schema)
+    return parse_hits(spread, schema, line_hash)
 
 
 def drop_empty(hits: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

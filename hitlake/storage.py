@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # The scratch folder of each application.
@@ -33,6 +34,64 @@ def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
         out.close()
 
 
+def create_new(spark: SparkSession, path: str, content: bytes) -> None:
+    """Write one small file that must not be there yet."""
+    system, target = _file_system(spark, path)
+    try:
+        out = system.create(target, False)
+    except Py4JJavaError as failed:
+        if "FileAlreadyExists" in str(failed.java_exception) or system.exists(target):
+            raise FileExistsError(path) from failed
+        raise
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+
+
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    """The content of one small file."""
+    system, target = _file_system(spark, path)
+    source = system.open(target)
+    try:
+        return bytes(source.readAllBytes())
+    finally:
+        source.close()
+
+
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Every file below a folder, in order: its path from there and its bytes.  For folders of bounded size."""
+    system, target = _file_system(spark, path)
+    if not system.exists(target):
+        return []
+    root = system.makeQualified(target).toUri().getPath().rstrip("/")
+    found, out = system.listFiles(target, True), []
+    while found.hasNext():
+        status = found.next()
+        out.append((status.getPath().toUri().getPath()[len(root) + 1 :], status.getLen()))
+    return sorted(out)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders right below a folder, in order; none where it is missing."""
+    system, target = _file_system(spark, path)
+    if not system.exists(target):
+        return []
+    return sorted(status.getPath().toString() for status in system.listStatus(target) if status.isDirectory())
+
+
+def move(spark: SparkSession, source: str, target: str, size: int) -> bool:
+    """Move a file of ``size`` bytes to a place of its own; can be repeated.  Whether it is there then."""
+    system, old = _file_system(spark, source)
+    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    if system.exists(old):
+        if system.exists(new):  # a copy that broke off, where the store has no real move
+            system.delete(new, False)
+        system.mkdirs(new.getParent())
+        return bool(system.rename(old, new))
+    return bool(system.exists(new)) and system.getFileStatus(new).getLen() == size
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a file or folder with all that is in it."""
     system, target = _file_system(spark, path)

@@ -9,11 +9,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from hitlake.operators.lookup_join import INLINE_ROWS, prepare
-from hitlake.plans.lake import add_columns, refresh, register
-from hitlake.plans.load import append_counted
+from hitlake.plans.load import LINE, stage_checked
+from hitlake.plans.publish import finish, new_load_id, publish, recover
 from hitlake.sources.hits import drop_empty, parse_hits, spread_lines, with_date
 from hitlake.sources.schema import DEFAULT_ROLES, hit_schema
-from hitlake.storage import exists, write_bytes
+from hitlake.storage import exists
 
 
 def ingest(
@@ -32,6 +32,7 @@ def ingest(
     trigger: Mapping[str, object] | None = None,
     unique: bool = False,
     table: str | None = None,
+    stop: Callable[[str], None] = lambda step: None,
 ) -> StreamingQuery:
     """Start a stream that appends new hit files to the lake; by default it ends when it has caught up.
 
@@ -44,7 +45,8 @@ def ingest(
     (or, with ``unique``, added some) fails the stream and is not noted.  ``table`` is registered, gets new
     columns, and shows each batch's partitions once the batch is written.
 
-    A batch that was written is noted by a file beside the checkpoint, and skipped if Spark replays it.
+    A batch is published like a page of a load, together with a note beside the checkpoint.  A batch that Spark
+    replays is first finished or dropped, and skipped if its note is there: its hits are in the lake once.
     """
     schema = hit_schema() if schema is None else schema
     reader = spark.readStream.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
@@ -62,17 +64,18 @@ def ingest(
     def append(lines: DataFrame, batch: int) -> None:
         session = lines.sparkSession
         mark = f"{written}/{batch}"
+        recover(session, target)
         if exists(session, mark):
             return
         ready = prepared(lookups(session)) if fixed is None else fixed
         spread = spread_lines(lines, tasks) if tasks else lines
-        hits = with_date(drop_empty(parse_hits(spread, schema)), timestamp)
-        _, _, enriched = append_counted(hits, ready, roles, target, bool(tasks), unique)
-        if table:
-            register(session, table, target, enriched)
-            add_columns(session, table, enriched)
-            refresh(session, table)
-        write_bytes(session, mark, b"")
+        hits = with_date(drop_empty(parse_hits(spread, schema, LINE), schema.names), timestamp)
+        load_id = new_load_id()
+        _, n_written = stage_checked(hits, ready, roles, target, load_id, bool(tasks), unique)
+        stop("staged")
+        manifest = publish(session, target, load_id, rows=n_written.rows, table=table, mark=mark)
+        stop("published")
+        finish(session, target, manifest, stop)
 
     stream = reader.text(source).writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     return stream.trigger(**(trigger or {"availableNow": True})).start()

@@ -4,6 +4,7 @@ import pytest
 from conftest import rows, write_gz
 from pyspark.sql import types as T
 
+from hitlake.plans.publish import STEPS
 from hitlake.streaming.ingest import ingest
 
 SCHEMA = T.StructType(
@@ -72,6 +73,20 @@ def test_replayed_batch_is_skipped(spark, tmp_path):
     assert run(spark, tmp_path) == once == [(1, 1, "A", day(1))]
 
 
+@pytest.mark.parametrize("step", STEPS)
+def test_a_stop_after_any_step_of_a_batch(spark, tmp_path, step):
+    def stop(done):
+        if done == step:
+            raise RuntimeError("stopped here")
+
+    write_gz(tmp_path / "incoming" / "01-suite_20240101-000000.tsv.gz", [hit(1, 1), hit(2, 2)])
+    with pytest.raises(Exception, match="stopped here"):
+        run(spark, tmp_path, stop=stop)
+    assert run(spark, tmp_path) == [(1, 1, "A", day(1)), (2, 1, "A", day(2))]
+    write_gz(tmp_path / "incoming" / "01-suite_20240103-000000.tsv.gz", [hit(3, 3)])
+    assert run(spark, tmp_path) == [(1, 1, "A", day(1)), (2, 1, "A", day(2)), (3, 1, "A", day(3))]
+
+
 def test_stream_and_load_agree(spark, tmp_path):
     from conftest import write_bundle
 
