@@ -30,7 +30,7 @@ KINDS = ("email", "ip", "card", "phone", "secret")
 # guard (a failing run fails from every later start too), in linear time on long runs.
 _EMAIL_RUN = r"(?:\G|(?<![A-Za-z0-9._%+-]))"
 BASE_RULES = {
-    "email": _EMAIL_RUN + r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": _EMAIL_RUN + r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
@@ -54,30 +54,50 @@ FEATURES = {"length": 5, "upper": 3, "lower": 3, "digit": 3, "distinct": 4, "hex
 CELLS = math.prod(FEATURES.values())
 
 
+#: Matches whose positions are added up together: arrays grow by copying, so one long sum would be quadratic.
+_TOGETHER = 128
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, also where functions inside refer to it often."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _blocks(items: Column) -> Column:
+    """An array cut into arrays of ``_TOGETHER``; one empty array for an empty one."""
+    last = F.floor((F.size(items) - 1) / _TOGETHER).cast("int")
+    return F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda n: F.slice(items, n * _TOGETHER + 1, F.lit(_TOGETHER)))
+
+
 def _pieces(text: Column, rule: str, gate: str) -> Column:
     """Spans of a rule's matches as structs (start, end, value)."""
     found = F.regexp_extract_all(text, F.lit(f"({rule})"), F.lit(1))
     between = F.split(text, rule, -1)
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    pairs = F.zip_with(found, F.slice(between, 1, F.size(found)), lambda m, b: F.struct(m.alias("m"), b.alias("b")))
-    # Positions add up in one pass over a text's own matches.
-    summed = F.aggregate(
-        pairs,
-        F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda acc, p: F.struct(
-            (acc["at"] + F.length(p["b"]) + F.length(p["m"])).alias("at"),
-            F.concat(
-                acc["out"],
-                F.array(
-                    F.struct(
-                        (acc["at"] + F.length(p["b"])).alias("start"),
-                        (acc["at"] + F.length(p["b"]) + F.length(p["m"])).alias("end"),
-                        p["m"].alias("value"),
-                    )
-                ),
-            ).cast("array<struct<start:int,end:int,value:string>>"),
-        ),
-    )["out"]
+    kind = "array<struct<start:int,end:int,value:string>>"
+    none = F.array().cast(kind)
+    pairs = F.zip_with(found, F.slice(between, 1, F.size(found)), lambda m, b: F.struct(m.alias("m"), F.length(b).alias("gap"), F.length(m).alias("own")))
+
+    def located(block: Column, first: Column) -> Column:
+        """The spans of one block that starts at ``first``."""
+        return F.aggregate(
+            block,
+            F.struct(first.alias("at"), none.alias("out")),
+            lambda acc, p: F.struct(
+                (acc["at"] + p["gap"] + p["own"]).alias("at"),
+                F.concat(acc["out"], F.array(F.struct((acc["at"] + p["gap"]).alias("start"), (acc["at"] + p["gap"] + p["own"]).alias("end"), p["m"].alias("value")))).cast(kind).alias("out"),
+            ),
+        )["out"]
+
+    def starts(blocks: Column) -> Column:
+        """Where each block starts."""
+        lengths = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda acc, p: acc + p["gap"] + p["own"]))
+        return F.aggregate(
+            lengths,
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+        )["out"]
+
+    summed = _let(pairs, lambda every: _let(_blocks(every), lambda blocks: F.flatten(F.zip_with(blocks, starts(blocks), located))))
     return F.when(text.rlike(gate), summed).otherwise(none)
 
 
@@ -236,12 +256,10 @@ def find_private(texts: DataFrame, key: str = "doc_id", text: str = "text", roun
     rows = texts.select(F.col(key), F.col(text), *also, F.array_sort(F.concat(*found)).alias("base"))
     if math.isinf(model.threshold):
         return rows.withColumn("spans", F.col("base"))
-    value = lambda s: F.substring(F.coalesce(F.col(text), F.lit("")), s["start"] + 1, s["end"] - s["start"])
-
     def scored(s: Column) -> Column:
         begin = F.greatest(s["start"] - CONTEXT, F.lit(0))
         before = F.substring(F.coalesce(F.col(text), F.lit("")), begin + 1, s["start"] - begin)
-        return F.struct(s["start"].alias("start"), s["end"].alias("end"), *_features(value(s), before))
+        return F.struct(s["start"].alias("start"), s["end"].alias("end"), *_features(s["value"], before))
 
     proposed = F.transform(_pieces(body, CANDIDATE, _CANDIDATE_GATE), scored)
     free = lambda s: ~F.exists(F.col("base"), lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"]))
@@ -263,17 +281,42 @@ def joined(spans: Column) -> Column:
 
 
 def redact(found: DataFrame, text: str = "text") -> DataFrame:
-    """Replace every span of ``spans`` by its kind in brackets; overlapping spans are replaced as one."""
-    step = F.aggregate(
-        F.col("spans"),
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.when(
-            s["start"] >= acc["at"],
-            F.struct(
-                s["end"].alias("at"),
-                F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), s["kind"], F.lit("]")).alias("out"),
-            ),
-        ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))),
-    )
-    rest = F.concat(step["out"], F.substring(F.col(text), step["at"] + 1, F.length(text)))
-    return found.withColumn(text, F.when(F.size("spans") > 0, rest).otherwise(F.col(text)))
+    """Replace every span of ``spans`` by its kind in brackets; overlapping spans are replaced as one.
+
+    Spans are taken in blocks, each with the stretch of text that it covers, so that neither the text made so far nor
+    the way to a span's place is gone over again for every span.
+    """
+    state = "struct<at:int,out:string>"
+
+    def replaced(block: Column, piece: Column, first: Column, done: Column) -> Column:
+        """One block's text from ``done``, where the text made so far ends; ``piece`` starts at ``first``."""
+        return F.aggregate(
+            block,
+            F.struct(done.alias("at"), F.lit("").alias("out")).cast(state),
+            lambda acc, s: F.when(
+                s["start"] >= acc["at"],
+                F.struct(
+                    s["end"].alias("at"),
+                    F.concat(acc["out"], F.substring(piece, acc["at"] - first + 1, s["start"] - acc["at"]), F.lit("["), s["kind"], F.lit("]")).alias("out"),
+                ),
+            ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))).cast(state),
+        )
+
+    def joined_blocks(blocks: Column) -> Column:
+        ends = F.transform(blocks, lambda b: F.coalesce(F.array_max(F.transform(b, lambda s: s["end"])), F.lit(0)))
+        # Where all spans before a block end: the block's text starts there.
+        done = F.aggregate(
+            ends,
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda acc, e: F.struct(F.greatest(acc["at"], e).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+        )
+
+        def one(block: Column, at: Column) -> Column:
+            last = F.coalesce(F.array_max(F.transform(block, lambda s: s["start"])), F.lit(0))
+            piece = F.substring(F.col(text), at + 1, F.greatest(last - at, F.lit(0)))
+            return _let(piece, lambda p: replaced(block, p, at, at)["out"])
+
+        return _let(done, lambda d: F.concat(F.array_join(F.zip_with(blocks, d["out"], one), ""), F.substring(F.col(text), d["at"] + 1, F.length(text))))
+
+    made = _let(_blocks(F.col("spans")), joined_blocks)
+    return found.withColumn(text, F.when(F.size("spans") > 0, made).otherwise(F.col(text)))

@@ -51,6 +51,8 @@ def op5_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id",
         *[number(kind).alias(f"n_{kind}") for kind in private_data.KINDS[:4]],
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.size(F.filter("spans", lambda s: s["kind"] == "secret")).cast("bigint").alias("n_secret"),
         F.sha2(private_data.joined(F.col("base")), 256).alias("base_sha256"),
         private_data.joined(F.col("spans")).alias("spans"),
     )
