@@ -147,7 +147,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.own = Tokenizer.from_file(path)
-        self.own.encode_special_tokens = True
         self.size = self.own.get_vocab_size()
         form = json.loads(self.own.to_str())
         splits = form["pre_tokenizer"] or {}
@@ -156,6 +155,10 @@ class Encoder:
             self.widths = np.zeros(self.size, np.int64)
             for token, n in self.own.get_vocab(with_added_tokens=False).items():
                 self.widths[n] = len(token)  # a character for each byte
+        # Tokens that are told in a text before it is cut into words.
+        added = [token.content for token in self.own.get_added_tokens_decoder().values()]
+        self.bytewise &= not any(" " in token for token in added)
+        self.added = re.compile("|".join(map(re.escape, added)) if added else "(?!)")
         self.known: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
@@ -177,6 +180,12 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.bytewise:
             return self._whole(texts)
+        special = {n: text for n, text in enumerate(texts) if self.added.search(text)}
+        if special:  # rare: such texts are encoded whole
+            made = self.encode([text for n, text in enumerate(texts) if n not in special])
+            for n, ids in zip(special, self._whole(list(special.values())), strict=True):
+                made.insert(n, ids)
+            return made
         cut = [self.CUT.split(text) for text in texts]
         if len(self.known) > MEMORY_WORDS:
             self.known.clear()
