@@ -36,6 +36,8 @@ _REACH = LENGTH - GRAM + 1  # places of an anchor within a window
 BUCKET_BYTES = 1 << 20
 #: Bytes of text in a shard.
 SHARD_BYTES = 2 << 20
+#: Window starts of a shard that are hashed at once.
+RUN_STARTS = 1 << 18
 _NONE = np.iinfo(np.int64).max
 
 _SHARD = "shard bigint, ids binary, lengths binary, body binary"
@@ -56,20 +58,26 @@ def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Stretches:
-    """The anchors of one shard, and the windows that each of them stands for."""
+    """The anchors of one shard, and the windows that each of them stands for.
+
+    Window starts are taken in bounded runs, so that only a little more than the text itself and its stretches is
+    held at once.  A stretch ends where a run does.
+    """
 
     def __init__(self, ids: bytes, lengths: bytes, body: bytes):
         self.ids = np.frombuffer(ids, "<i8")
         self.offsets = np.concatenate([[0], np.cumsum(np.frombuffer(lengths, "<i8"))])
         self.data = np.frombuffer(zstandard.decompress(body) if body else b"", np.uint8)
-        self.hasher = Hasher(self.data)
-        count = len(self.data) - LENGTH + 1
-        if count <= 0:
-            self.begin = self.end = np.zeros(0, np.int64)
-            self.hash, self.doc = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-            return
-        grams = np.arange(len(self.data) - GRAM + 1)
-        value, place = self.hasher.spans(grams, grams + GRAM), grams.astype(np.int32)
+        count = max(0, len(self.data) - LENGTH + 1)
+        parts = [self._run(a, min(a + RUN_STARTS, count)) for a in range(0, count, RUN_STARTS)]
+        kinds = (np.int64, np.int64, np.uint64, np.uint64, np.int64)
+        self.begin, self.end, self.hash, self.content, self.doc = (np.concatenate([p[n] for p in parts]) if parts else np.zeros(0, kind) for n, kind in enumerate(kinds))
+
+    def _run(self, a: int, b: int) -> tuple[np.ndarray, ...]:
+        """Begin, end (of window starts), anchor hash, content hash and document of the stretches that start in [a, b)."""
+        hasher = Hasher(self.data[a : b + LENGTH - 1])
+        grams = np.arange(b - a + _REACH - 1)
+        value, place = hasher.spans(grams, grams + GRAM), grams.astype(np.int32)
         width = 1
         while width < _REACH:  # the smallest of the next ``width`` grams, the first of equals
             step = min(width, _REACH - width)
@@ -77,14 +85,14 @@ class Stretches:
             place = np.where(later, place[step:], place[:-step])
             value = np.where(later, value[step:], value[:-step])
             width += step
-        doc = np.searchsorted(self.offsets, np.arange(count), "right") - 1
-        whole = np.flatnonzero(np.arange(count) + LENGTH <= self.offsets[doc + 1])
-        anchor, doc = place[whole].astype(np.int64), doc[whole]
+        starts = np.arange(a, b)
+        doc = np.searchsorted(self.offsets, starts, "right") - 1
+        whole = np.flatnonzero(starts + LENGTH <= self.offsets[doc + 1])
+        anchor, doc = place[whole], doc[whole]
         heads = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])])) if len(whole) else whole
-        self.begin = whole[heads]
-        self.end = whole[np.append(heads[1:], len(whole)) - 1] + 1 if len(whole) else whole  # of window starts
-        self.hash = value[whole][heads]
-        self.doc = self.ids[doc[heads]]
+        begin = whole[heads]
+        end = whole[np.append(heads[1:], len(whole)) - 1] + 1 if len(whole) else whole
+        return begin + a, end + a, value[whole][heads], hasher.spans(begin, end + LENGTH - 1), self.ids[doc[heads]]
 
     def short(self) -> np.ndarray:
         """32 bits of each anchor's hash: enough to tell who may be shared."""
@@ -161,7 +169,7 @@ def _live(own: Stretches, common: list[bytes]) -> tuple[np.ndarray, np.ndarray,
     """Stretches whose anchor may be shared, as rows of distinct ones: (rows, first row of each, distinct row of each)."""
     names = np.frombuffer(b"".join(common), "<u4")
     rows = np.flatnonzero(np.isin(own.short(), names))
-    content = own.hasher.spans(own.begin[rows], own.end[rows] + LENGTH - 1) ^ own.hash[rows]
+    content = own.content[rows] ^ own.hash[rows]
     _, first, distinct = np.unique(content, return_index=True, return_inverse=True)
     return rows, first, distinct
 
