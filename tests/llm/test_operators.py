@@ -4,15 +4,18 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from hitlake.llm import components, fingerprints, jaccard_join, main_text, perspectives, phrase_index, pieces, private_data, suffix_dedup, token_files, toxicity
 from hitlake.llm import queries as llm
+from hitlake.llm.ranges import in_order
 
 SF = "/root/testdata/sf0.001"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -423,3 +426,91 @@ def test_pipeline(spark, docs):
 def test_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in llm.queries())
     assert numbers == list(range(1, 11))
+
+
+# Long and odd texts --------------------------------------------------------------------------------
+
+
+def test_private_data_in_very_long_texts(spark):
+    """Labels and numbers by the hundred thousand in one text: linear time, no recursion."""
+    mail = "a@b" + ".cd" * 100_000
+    numbers = " ".join(f"10.{n % 200}.{n // 200 % 200}.7" for n in range(60_000))
+    frame = spark.createDataFrame([(1, mail), (2, numbers), (3, "x" * 100_000 + "@")], "doc_id bigint, text string")
+    began = time.time()
+    found = {r.doc_id: r for r in private_data.find_private(frame).collect()}
+    assert [(s.kind, s.start, s.end) for s in found[1].base] == [("email", 0, len(mail))]
+    spans = [(m.start(), m.end()) for m in re.finditer(r"[0-9]+(?:\.[0-9]+){3}", numbers)]
+    assert [(s.start, s.end) for s in found[2].base if s.kind == "ip"] == spans
+    assert found[3].base == []
+    redacted = {r.doc_id: r.text for r in private_data.redact(private_data.find_private(frame)).select("doc_id", "text").collect()}
+    assert redacted[1] == "[email]" and redacted[2] == " ".join(["[ip]"] * 60_000)
+    assert time.time() - began < 120
+
+
+@pytest.mark.parametrize("together", [1, 3, 128])
+def test_redaction_in_blocks(spark, monkeypatch, together):
+    monkeypatch.setattr(private_data, "_TOGETHER", together)
+    text = "é " + " and ".join(f"u{n}@mail.example 10.0.0.{n}" for n in range(9)) + " end"
+    frame = spark.createDataFrame([(1, text), (2, "none"), (3, None)], "doc_id bigint, text string")
+    got = [r.text for r in private_data.redact(private_data.find_private(frame)).orderBy("doc_id").select("text").collect()]
+    assert got == ["é " + " and ".join(["[email] [ip]"] * 9) + " end", "none", None]
+    # Spans that overlap across blocks are one.
+    spans = [(0, 0, "a", 5), (2, 0, "b", 9), (8, 0, "c", 10), (12, 0, "d", 13)]
+    rows = spark.createDataFrame([("0123456789-=+*!", spans)], "text string, spans array<struct<start:int,place:int,kind:string,end:int>>")
+    assert private_data.redact(rows).first().text == "[a]-=[d]*!"
+
+
+def test_ranges_with_many_partitions(spark):
+    """Thousands of ranges: the plan stays small, and each range is a partition."""
+    rows = spark.range(20_000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    made = in_order(rows, "doc_id", "text", 5000, tail=True)
+    got = made.select("range", "tail", "key", F.spark_partition_id().alias("p")).collect()
+    assert sorted(r.key for r in got if not r.tail) == list(range(20_000))
+    assert all(r.p == r.range for r in got)
+    last = {r.range: r.key for r in got if not r.tail}
+    firsts = {}
+    for r in got:
+        if not r.tail:
+            last[r.range] = max(last[r.range], r.key)
+            firsts[r.range] = min(firsts.get(r.range, r.key), r.key)
+    order = sorted(firsts)
+    assert {r.range: r.key for r in got if r.tail} == {order[n - 1]: firsts[order[n]] for n in range(len(order))}
+
+
+def test_token_files_tell_added_tokens(spark):
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(token_files.default_vocabulary())
+    texts = ["hi <|endoftext|> yo", "plain words here", "<|endoftext|>", "a<|endoftext|>b <|endof text|>", ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    expected = {n: own.encode(t, add_special_tokens=False).ids + [2] for n, t in enumerate(texts)}
+    assert expected[0] == [5303, 220, 50256, 27406, 2]
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in token_files.round_trip(frame).collect()}
+    assert got == {n: (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for n, ids in expected.items()}
+
+
+def test_pipeline_keeps_rows_without_an_id(spark, tmp_path):
+    import corpus_pipeline
+
+    text = " ".join(f"word{n}" for n in range(40))
+    rows = [(None, text), (None, text), (1, text), (2, text + " more"), (3, ""), (4, None), (None, None), (5, "other words stand in this one")]
+    frame = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = corpus_pipeline.drop_near_copies(spark, frame, str(tmp_path)).collect()
+    assert sorted((str(r.doc_id) for r in kept)) == sorted(["None", "None", "None", "1", "3", "4", "5"])
+
+
+def test_suffix_stretches_over_runs(spark, monkeypatch):
+    """Stretches that end where a run of window starts does change nothing."""
+    random.seed(4)
+    passage = "".join(random.choice("abc ") for _ in range(300))
+    rows = [(n, "".join(random.choice("defg ") for _ in range(random.randrange(200))) + passage[random.randrange(100) :] * random.randrange(3)) for n in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    whole = [tuple(r) for r in suffix_dedup.dedup(frame).drop("kept").orderBy("doc_id").collect()]
+    assert any(r[2] for r in whole)
+    raw = [t.encode() for _, t in rows]
+    made = lambda: suffix_dedup.Stretches(np.arange(len(raw)).astype("<i8").tobytes(), np.array([len(t) for t in raw], "<i8").tobytes(), zstandard.compress(b"".join(raw)))
+    one = made()
+    monkeypatch.setattr(suffix_dedup, "RUN_STARTS", 97)
+    cut = made()
+    spread = lambda own: [(w, int(h), int(d)) for b, e, h, d in zip(own.begin, own.end, own.hash, own.doc, strict=True) for w in range(b, e)]
+    assert spread(cut) == spread(one) and len(cut.begin) > len(one.begin)
