@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitlake.operators.enrich import enrich, list_lookup
+from hitlake.plans.compact import compact
 from hitlake.plans.lake import add_columns, business_join, hits_on, not_loaded, refresh, register, write_hits
 from hitlake.plans.ledger import mark_done, pending, read_ledger
 from hitlake.plans.load import load
@@ -498,6 +499,45 @@ def manifest_closed_days(spark, sf_dir):
     return days.join(files, "feed_date", "left").select("feed_date", "n_listed", "n_missing", "closed", F.coalesce("n_loaded", F.lit(0)).alias("n_loaded"))
 
 
+def compacted_lake(spark, sf_dir):
+    """A lake written by five loads, one of them with fewer columns, after its small files were packed."""
+    target = scratch_path(spark, "compacted")
+    events = _daily_events(spark, sf_dir)
+    for part in range(5):
+        some = events.where(F.col("event_id") % 5 == part)
+        write_hits(some.drop("value") if part == 4 else some, target)
+    compact(spark, target, page_size=40)
+    return spark.read.parquet(target).select("event_id", "user_id", "event_type", "value", "date")
+
+
+def header_columns(spark, sf_dir):
+    """A load whose feed changes twice: columns change places, then one goes and one comes."""
+
+    def make(path: str) -> None:
+        headers = {
+            "20240101": ["event_id", "date_time", "user_id", "event_type", "value"],
+            "20240110": ["value", "event_type", "date_time", "event_id", "user_id"],
+            "20240120": ["date_time", "event_id", "campaign", "user_id", "event_type"],
+        }
+        events = _table(spark, sf_dir, "events").withColumn("feed_day", F.date_format("ts", "yyyyMMdd"))
+        events = events.withColumn("date_time", F.col("ts")).withColumn("campaign", F.concat(F.lit("c"), F.col("user_id") % 7))
+        for day, columns in headers.items():
+            later = min([d for d in headers if d > day], default="99999999")
+            some = events.where(F.col("feed_day").between(day, later) & (F.col("feed_day") < later))
+            writer = some.select(*columns, "feed_day").hint("rebalance", F.col("feed_day")).write.mode("append")
+            writer.partitionBy("feed_day").options(sep="\t", compression="gzip").csv(path)
+            nations = _nations(spark, sf_dir).collect()  # 25 rows at every scale
+            bundle = _archive({"nation.tsv": [f"{r['id']}\t{r['name']}" for r in nations], "column_headers.tsv": ["\t".join(columns)]})
+            write_bytes(spark, f"{path}/suite_{day}-000000-lookup_data.tar.gz", bundle)
+
+    feed = _once(spark, sf_dir, "header-feed", make)
+    target, ledger = scratch_path(spark, "by-header"), scratch_path(spark, "by-header-ledger")
+    schema = T.StructType([field for field in FEED_SCHEMA if field.name != "nation"])
+    load(spark, feed, target, ledger, schema, [("nation", "user_id")], names=EXPORT_NAMES, include_open=True, header_member="column_headers.tsv")
+    found = spark.read.option("mergeSchema", "true").parquet(target)
+    return found.select("event_id", F.col("user_id_id").alias("user_id"), F.col("user_id").alias("nation"), "event_type", "value", "campaign", "date")
+
+
 def touched_partitions(spark, sf_dir):
     """What the catalog shows after a load of the last days into a lake whose other days were never shown."""
     target, table = scratch_path(spark, "touched"), f"hit_data_{uuid.uuid4().hex}"
@@ -563,6 +603,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_checksums": load_checksums,
         "manifest_closed_days": manifest_closed_days,
         "touched_partitions": touched_partitions,
+        "compacted_lake": compacted_lake,
+        "header_columns": header_columns,
         **(llm_queries.queries() | {"pipeline": corpus_pipeline.run} if llm_queries else {}),
     }
 
@@ -682,6 +724,12 @@ def oracle_sql() -> dict[str, str]:
                     FROM x WHERE NOT (odd AND week = 3) GROUP BY feed_date)
             SELECT feed_date, n_listed, n_missing, n_missing = 0 AS closed,
                    CASE WHEN n_missing = 0 THEN n_listed ELSE 0 END AS n_loaded FROM d""",
+        "compacted_lake": """SELECT event_id, user_id, event_type, CASE WHEN event_id % 5 <> 4 THEN value END AS value,
+              CAST(ts AS DATE) AS date FROM events""",
+        "header_columns": """SELECT event_id, user_id, n_name AS nation, event_type,
+              CASE WHEN CAST(ts AS DATE) < DATE '2024-01-20' THEN value END AS value,
+              CASE WHEN CAST(ts AS DATE) >= DATE '2024-01-20' THEN 'c'||(user_id % 7) END AS campaign, CAST(ts AS DATE) AS date
+            FROM events LEFT JOIN nation ON user_id = n_nationkey""",
         "touched_partitions": _EVENTS_BY_DATE + " WHERE CAST(ts AS DATE) > DATE '2024-01-20'",
         **(llm_queries.oracle_sql() if llm_queries else {}),
     }

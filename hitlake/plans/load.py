@@ -17,6 +17,7 @@ from hitlake.plans.lake import not_loaded
 from hitlake.plans.ledger import mark_done, pending, read_ledger
 from hitlake.plans.publish import finish, new_load_id, publish, recover, stage
 from hitlake.sources.bundle import lookup_table, read_lookups
+from hitlake.sources.columns import headers_by_day, read_hits_by_header
 from hitlake.sources.hits import drop_empty, literal_path, read_hits_spread, with_date
 from hitlake.sources.landing import (
     FEED_NAMES,
@@ -140,6 +141,7 @@ def load(
     task_bytes: int = TASK_BYTES,
     table: str | None = None,
     manifests: ManifestNames | None = None,
+    header_member: str | None = None,
     stop: Callable[[str], None] = lambda step: None,
 ) -> LoadReport:
     """Load every pending file of the closed days, then mark it in the ledger.
@@ -153,6 +155,9 @@ def load(
     With ``manifests`` a day is closed once every file that its manifests list is there in full, the newest day
     too, and only listed files are loaded; ``include_open`` then has no meaning.
 
+    With ``header_member`` the bundle's member of that name tells the columns of each day's files: columns are found by
+    name, missing ones are NULL, and new ones are added to the lake as text.
+
     A day is parsed and written by one task per ``task_bytes`` of its compressed files, or by ``files``
     tasks; so many files at most are written per day of the feed and date touched.
     """
@@ -178,8 +183,15 @@ def load(
                 sizes_by_day[row["feed_date"]] = sizes_by_day.get(row["feed_date"], 0) + row["length"]
             tasks = {day: files or max(1, ceil(n_bytes / task_bytes)) for day, n_bytes in sizes_by_day.items()}
             paths = [literal_path(row["path"]) for row in page]
-            raw = read_hits_spread(spark, paths, tasks, schema, names.day_pattern, LINE)
-            hits = with_date(drop_empty(raw, schema.names), timestamp)
+            if header_member is None:
+                raw = read_hits_spread(spark, paths, tasks, schema, names.day_pattern, LINE)
+            else:
+                by_day: dict[str, list[str]] = {}
+                for row, path in zip(page, paths, strict=True):
+                    by_day.setdefault(row["feed_date"], []).append(path)
+                headers = headers_by_day(spark, landing, by_day, names, header_member)
+                raw = read_hits_by_header(spark, by_day, headers, tasks, schema, names.day_pattern, LINE)
+            hits = with_date(drop_empty(raw, [name for name in raw.columns if name != LINE]), timestamp)
             if dedupe_on:
                 hits = not_loaded(hits, target, dedupe_on)
             load_id = new_load_id()

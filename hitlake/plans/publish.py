@@ -38,7 +38,8 @@ class LostFile(RuntimeError):
 class LoadManifest:
     """What a load publishes: its files by path below the lake, with their bytes, and the landing files it took.
 
-    It also says where to make that known: the ledger, the catalog table, and a file to be made as a mark.
+    It also says where to make that known: the ledger, the catalog table, and a file to be made as a mark.  Files of
+    the lake that it replaces go once its own are there.
     """
 
     load_id: str
@@ -48,6 +49,7 @@ class LoadManifest:
     ledger: str | None = None
     table: str | None = None
     mark: str | None = None
+    replaced: Sequence[str] = ()
 
     @property
     def dates(self) -> list[str | None]:
@@ -68,7 +70,7 @@ class LoadManifest:
         if not isinstance(found, dict) or not found.pop("end", False):
             return None
         pairs = {name: tuple(map(tuple, found[name])) for name in ("files", "taken")}
-        return LoadManifest(**(found | pairs))
+        return LoadManifest(**(found | pairs | {"replaced": tuple(found["replaced"])}))
 
 
 def new_load_id() -> str:
@@ -96,11 +98,12 @@ def publish(
     ledger: str | None = None,
     table: str | None = None,
     mark: str | None = None,
+    replaced: Sequence[str] = (),
 ) -> LoadManifest:
     """Create the manifest of a staged load; from here on the load counts.  Fails if there is one already."""
     folder = _folder(target, load_id)
     found = [(name, size) for name, size in list_files(spark, f"{folder}/data") if name.endswith(".parquet")]
-    manifest = LoadManifest(load_id, tuple(found), tuple(taken), rows, ledger, table, mark)
+    manifest = LoadManifest(load_id, tuple(found), tuple(taken), rows, ledger, table, mark, tuple(replaced))
     create_new(spark, f"{folder}/manifest.json", manifest.encode())
     return manifest
 
@@ -129,6 +132,8 @@ def finish(spark: SparkSession, target: str, manifest: LoadManifest, stop: Calla
     for name, size in manifest.files:
         if not move(spark, f"{folder}/data/{name}", f"{lake}/{name}", size):
             raise LostFile(f"load {manifest.load_id}: {name}")
+    for name in manifest.replaced:
+        remove(spark, f"{lake}/{name}")
     stop("moved")
     _show(spark, target, manifest)
     stop("shown")

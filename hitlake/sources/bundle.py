@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitlake.functions.keys import try_integer
+from hitlake.sources.hits import literal_path
 
 _BATCH_LINES = 8192
 
@@ -49,6 +50,25 @@ def read_bundle(spark: SparkSession, path: str) -> DataFrame:
     return extract_lines(spark.read.format("binaryFile").load(path))
 
 
+def _headers(member: str):
+    """The first line that holds more than blanks of one member of each archive, by the archive's path."""
+
+    def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths, lines = [], []
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                for found in _member_lines([pa.RecordBatch.from_pydict({"content": pa.array([content.as_py()], pa.binary())})]):
+                    named = zip(found.column("member").to_pylist(), found.column("line").to_pylist(), strict=True)
+                    line = next((line for name, line in named if name.rsplit("/", 1)[-1] == member and line.strip()), None)
+                    if line is not None:
+                        paths.append(path)
+                        lines.append(line.strip("\r\n"))
+                        break
+            yield pa.RecordBatch.from_pydict({"path": pa.array(paths, pa.string()), "line": pa.array(lines, pa.string())})
+
+    return apply
+
+
 def parse_lines(lines: DataFrame, line: str = "line", lenient: bool = False) -> DataFrame:
     """Turn ``id<TAB>name`` lines into ``id``, ``name``; other columns stay.
 
@@ -83,3 +103,16 @@ def as_lookup(frame: DataFrame, id: str | Column, name: str | Column) -> DataFra
     id = F.col(id) if isinstance(id, str) else id
     name = F.col(name) if isinstance(name, str) else name
     return frame.select(id.cast("bigint").alias("id"), name.alias("name"))
+
+
+def read_headers(spark: SparkSession, paths: Iterable[str], member: str = "column_headers.tsv") -> dict[str, tuple[str, ...]]:
+    """The column names that each bundle's header member gives, by bundle; bundles without one are left out.
+
+    One short line of each bundle passes the driver.
+    """
+    paths = list(paths)
+    if not paths:
+        return {}
+    archives = spark.read.format("binaryFile").load([literal_path(path) for path in paths])
+    found = archives.select("path", "content").mapInArrow(_headers(member), "path string, line string").collect()
+    return {row["path"]: tuple(name.strip() for name in row["line"].split("\t")) for row in found}
