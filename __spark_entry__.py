@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hitlake.operators.as_of_join import as_of_join
 from hitlake.operators.enrich import enrich, list_lookup
 from hitlake.plans.compact import compact
 from hitlake.plans.lake import add_columns, business_join, hits_on, not_loaded, refresh, register, write_hits
@@ -510,6 +511,16 @@ def compacted_lake(spark, sf_dir):
     return spark.read.parquet(target).select("event_id", "user_id", "event_type", "value", "date")
 
 
+def business_as_of(spark, sf_dir):
+    """Each hit with its customer's last order by then; a third of the hits are of one customer."""
+    key = F.when(F.col("event_id") % 3 == 0, F.lit(1)).otherwise(F.col("user_id")).cast("bigint")
+    hits = _table(spark, sf_dir, "events").select("event_id", key.alias("customer"), "ts")
+    placed = F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, CAST(o_orderkey % 43200 AS INT), 0)")
+    orders = _table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("bigint").alias("o_custkey"), placed.cast(hits.schema["ts"].dataType).alias("t"), "o_orderkey")
+    orders = orders.groupBy("o_custkey", "t").agg(F.max("o_orderkey").alias("order_id"))
+    return as_of_join(hits, orders, "customer", "o_custkey", "ts", "t", ["order_id"]).select("event_id", "customer", "order_id")
+
+
 def header_columns(spark, sf_dir):
     """A load whose feed changes twice: columns change places, then one goes and one comes."""
 
@@ -605,6 +616,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "touched_partitions": touched_partitions,
         "compacted_lake": compacted_lake,
         "header_columns": header_columns,
+        "business_as_of": business_as_of,
         **(llm_queries.queries() | {"pipeline": corpus_pipeline.run} if llm_queries else {}),
     }
 
@@ -730,6 +742,11 @@ def oracle_sql() -> dict[str, str]:
               CASE WHEN CAST(ts AS DATE) < DATE '2024-01-20' THEN value END AS value,
               CASE WHEN CAST(ts AS DATE) >= DATE '2024-01-20' THEN 'c'||(user_id % 7) END AS campaign, CAST(ts AS DATE) AS date
             FROM events LEFT JOIN nation ON user_id = n_nationkey""",
+        "business_as_of": """WITH h AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END AS customer, ts FROM events),
+              o AS (SELECT o_custkey, TIMESTAMP '2024-01-01' + to_minutes(CAST(o_orderkey % 43200 AS BIGINT)) AS t, max(o_orderkey) AS order_id
+                    FROM orders GROUP BY 1, 2)
+            SELECT event_id, CAST(customer AS BIGINT) AS customer, order_id
+            FROM h ASOF LEFT JOIN o ON h.customer = o.o_custkey AND h.ts >= o.t""",
         "touched_partitions": _EVENTS_BY_DATE + " WHERE CAST(ts AS DATE) > DATE '2024-01-20'",
         **(llm_queries.oracle_sql() if llm_queries else {}),
     }
