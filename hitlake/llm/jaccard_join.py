@@ -228,13 +228,9 @@ def _candidates(dealt: DataFrame, percent: int, all_pairs: bool, parts: int) ->
     Neighbours come whatever they share; of all pairs only those that share enough.
     """
 
-    def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = [_unpacked_postings(p) for batch in batches for p in batch.column(1).to_pylist()]
-        if not held:
-            return
-        postings = np.concatenate(held)
-        held.clear()
-        postings = postings[np.lexsort((postings["doc"], postings["key"]))]
+    def of_bucket(held: list[bytes]) -> Iterator[pa.RecordBatch]:
+        postings = np.concatenate([_unpacked_postings(p) for p in held])
+        postings = postings[np.lexsort((postings["doc"], postings["root"], postings["key"]))]
         waiting, size = [], 0
         for found in _pairs_of(postings, percent, all_pairs):
             waiting.append(found)
@@ -245,7 +241,19 @@ def _candidates(dealt: DataFrame, percent: int, all_pairs: bool, parts: int) ->
         if size:
             yield _counted(waiting)
 
-    made = dealt.repartition(parts, "bucket").mapInArrow(apply, "a bigint, b bigint, asked int, shared bigint")
+    def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held = None, []
+        for batch in batches:
+            for bucket, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket != number and held:  # one bucket at a time
+                    yield from of_bucket(held)
+                    held = []
+                number = bucket
+                held.append(packed)
+        if held:
+            yield from of_bucket(held)
+
+    made = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(apply, "a bigint, b bigint, asked int, shared bigint")
     summed = made.groupBy("a", "b").agg(F.min("asked").alias("asked"), F.sum("shared").alias("shared"))
     return (summed.where("shared >= asked") if all_pairs else summed).select("a", "b", (F.col("shared") >= F.col("asked")).alias("likely"))
 
