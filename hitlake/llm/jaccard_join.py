@@ -143,7 +143,7 @@ def _profiles(texts: DataFrame, n: int, percent: int, sketch: np.ndarray) -> Dat
     return texts.select("doc_id", "text").mapInArrow(apply, _PROFILE)
 
 
-_POSTING = np.dtype([("key", "<u8"), ("doc", "<i8"), ("root", "<i8"), ("size", "<i4"), ("at", "<i4"), ("matches", "<i4")])
+_POSTING = np.dtype([("key", "<u8"), ("doc", "<i8"), ("root", "<i8"), ("size", "<i4"), ("at", "<i4"), ("matches", "<i4"), ("weight", "<i4")])
 
 
 def _packed(postings: np.ndarray) -> bytes:
@@ -171,13 +171,13 @@ def _dealt(buckets: int):
 
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prefixes = [np.frombuffer(p, "<u8") for p in batch.column(4).to_pylist()]
+            prefixes = [np.frombuffer(p, "<u8") for p in batch.column(5).to_pylist()]
             lengths = np.array([len(p) for p in prefixes])
             made = np.empty(int(lengths.sum()), _POSTING)
             if not len(made):
                 continue
             made["key"] = np.concatenate(prefixes)
-            for n, name in enumerate(("doc", "root", "size", "matches")):
+            for n, name in enumerate(("doc", "root", "size", "matches", "weight")):
                 made[name] = np.repeat(batch.column(n).to_numpy(zero_copy_only=False), lengths)
             made["at"] = np.arange(len(made)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             bucket = (mix(made["key"]) % np.uint64(buckets)).astype(np.int64)
@@ -190,49 +190,54 @@ def _dealt(buckets: int):
     return apply
 
 
-def _pairs_of(postings: np.ndarray, percent: int, all_pairs: bool) -> Iterator[np.ndarray]:
-    """Rows (a, b, matches asked for, whether a and b may be similar) of one bucket's sorted postings.
+def _pairs_of(postings: np.ndarray, percent: int, mode: str) -> Iterator[np.ndarray]:
+    """Rows (a, b, matches asked for, whether a and b may be similar) of one bucket's postings.
 
-    ``all_pairs`` is false for the neighbours along each list, true for all pairs of different roots that may be
-    similar.  One array for each distance along the lists.
+    "near" gives the neighbours along each list, "hub" each list's posting of largest weight with all others of it, and
+    "all" all pairs; the last two only where roots differ and the texts may be similar.
     """
-    group = np.cumsum(np.concatenate([[0], (postings["key"][1:] != postings["key"][:-1]).astype(np.int64)]))
+    by_weight = -postings["weight"] if mode == "hub" else np.zeros(len(postings), np.int8)
+    postings = postings[np.lexsort((postings["doc"], by_weight, postings["key"]))]
+    head = np.concatenate([[True], postings["key"][1:] != postings["key"][:-1]])
+    group = np.cumsum(head)
     last = np.searchsorted(group, group, "right")  # end of each posting's list
     live = np.arange(len(postings))
     distance = 1
     while True:
-        live = live[live + distance < last[live]]
+        if mode == "hub":
+            live = np.flatnonzero(~head)
+            a, b = postings[np.flatnonzero(head)[group[live] - 1]], postings[live]
+        else:
+            live = live[live + distance < last[live]]
+            a, b = postings[live], postings[np.minimum(live + distance, len(postings) - 1)]
         if not len(live):
             return
-        a, b = postings[live], postings[live + distance]
         need = -(-percent * (a["size"].astype(np.int64) + b["size"]) // (100 + percent))
         bound = np.minimum(a["at"], b["at"]) + np.minimum(a["size"] - a["at"], b["size"] - b["at"])
         k = np.minimum(a["matches"], b["matches"])
         limit = lambda x: x["size"] - -(-percent * x["size"].astype(np.int64) // 100) + k
         keep = (a["root"] != b["root"]) & (bound >= need) & (np.maximum(a["size"], b["size"]) * np.int64(percent) <= 100 * np.minimum(a["size"], b["size"]).astype(np.int64))
         keep &= (a["at"] < limit(a)) & (b["at"] < limit(b))
-        if not all_pairs:
+        if mode == "near":
             room = np.minimum(limit(a), limit(b))  # the first round is free to choose: likely links only
             yield np.stack([a["doc"], b["doc"], np.maximum(k, room // 4), keep], axis=1).astype(np.int64)
-            distance += 1
-            if distance > NEIGHBOURS:
-                return
-            continue
-        yield np.stack([a["doc"][keep], b["doc"][keep], k[keep], keep[keep]], axis=1).astype(np.int64)
+        else:
+            yield np.stack([a["doc"][keep], b["doc"][keep], k[keep] if mode == "all" else keep[keep], keep[keep]], axis=1).astype(np.int64)
         distance += 1
+        if mode == "hub" or mode == "near" and distance > NEIGHBOURS:
+            return
 
 
-def _candidates(dealt: DataFrame, percent: int, all_pairs: bool, parts: int) -> DataFrame:
-    """(a, b, likely): pairs with a < b, and whether they share as many prefix elements as was asked for.
+def _candidates(dealt: DataFrame, percent: int, mode: str, parts: int) -> DataFrame:
+    """(a, b, shared, likely): pairs with a < b, and whether they share as many prefix elements as was asked for.
 
     Neighbours come whatever they share; of all pairs only those that share enough.
     """
 
     def of_bucket(held: list[bytes]) -> Iterator[pa.RecordBatch]:
         postings = np.concatenate([_unpacked_postings(p) for p in held])
-        postings = postings[np.lexsort((postings["doc"], postings["root"], postings["key"]))]
         waiting, size = [], 0
-        for found in _pairs_of(postings, percent, all_pairs):
+        for found in _pairs_of(postings, percent, mode):
             waiting.append(found)
             size += len(found)
             if size > 200_000:
@@ -255,7 +260,7 @@ def _candidates(dealt: DataFrame, percent: int, all_pairs: bool, parts: int) ->
 
     made = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(apply, "a bigint, b bigint, asked int, shared bigint")
     summed = made.groupBy("a", "b").agg(F.min("asked").alias("asked"), F.sum("shared").alias("shared"))
-    return (summed.where("shared >= asked") if all_pairs else summed).select("a", "b", (F.col("shared") >= F.col("asked")).alias("likely"))
+    return (summed if mode == "near" else summed.where("shared >= asked")).select("a", "b", "shared", (F.col("shared") >= F.col("asked")).alias("likely"))
 
 
 def _counted(waiting: list[np.ndarray]) -> pa.RecordBatch:
@@ -359,21 +364,28 @@ def components(texts: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     buckets = max(4 * parts, 1 + int(total) // BUCKET_POSTINGS)
     parts = max(parts, buckets // 4)
 
-    def candidates(rooted: DataFrame, all_pairs: bool) -> DataFrame:
-        rows = rooted.select("doc_id", "root", F.col("n_shingles").cast("int").alias("size"), "matches", "prefix")
-        return _candidates(rows.mapInArrow(_dealt(buckets), "bucket int, postings binary"), percent, all_pairs, parts)
+    def candidates(rooted: DataFrame, mode: str) -> DataFrame:
+        rows = rooted.select("doc_id", "root", F.col("n_shingles").cast("int").alias("size"), "matches", "weight", "prefix")
+        return _candidates(rows.mapInArrow(_dealt(buckets), "bucket int, postings binary"), percent, mode, parts)
 
-    near = _stored(candidates(reps.withColumn("root", F.col("doc_id")), False), "neighbours")
+    near = _stored(candidates(reps.withColumn("root", F.col("doc_id")).withColumn("weight", F.lit(0)), "near"), "neighbours")
     # Whoever stands on a list with another text has a neighbour there; nobody else can be a candidate.
-    wanted = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    places = near.select(F.explode(F.array("a", "b")).alias("doc_id"), "shared")
+    wanted = _stored(places.groupBy("doc_id").agg(F.sum("shared").cast("int").alias("weight")), "wanted")
     sets = _stored(_shingle_sets(texts.join(wanted, "doc_id", "left_semi"), n), "sets")
-    links = _verified(near.where("likely").select("a", "b"), sets, percent)
-    roots = _stored(connect(links), "roots")
+    reps = _stored(reps.join(wanted, "doc_id"), "live")
+    roots = _stored(connect(_verified(near.where("likely").select("a", "b"), sets, percent)), "roots")
+
+    def rooted() -> DataFrame:
+        return reps.join(roots, reps["doc_id"] == roots["node"], "left").withColumn("root", F.coalesce("root", "doc_id"))
+
+    def joined(more: DataFrame) -> DataFrame:
+        return connect(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more))
 
-    rooted = reps.join(roots, reps["doc_id"] == roots["node"], "left").withColumn("root", F.coalesce("root", "doc_id"))
-    across = _stored(candidates(rooted, True).select("a", "b"), "across")
-    more = _verified(across, sets, percent)
-    whole = connect(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more))
+    hubs = _stored(candidates(rooted(), "hub").select("a", "b"), "hubs")
+    roots = _stored(joined(_verified(hubs, sets, percent)), "roots")
+    across = _stored(candidates(rooted(), "all").select("a", "b"), "across")
+    whole = joined(_verified(across, sets, percent))
 
     found = profiles.select("doc_id", "n_shingles", "sign").join(classes, "sign", "left").join(whole, F.col("rep") == F.col("node"), "left")
     return found.select("doc_id", "n_shingles", F.coalesce("root", "rep", "doc_id").alias("component_id"))
