@@ -34,6 +34,8 @@ LENGTH, GRAM = 50, 24
 _REACH = LENGTH - GRAM + 1  # places of an anchor within a window
 #: Bytes of text for each bucket of anchors.
 BUCKET_BYTES = 1 << 20
+#: Bytes of stretches that are sorted at once: a bucket's anchors are taken in groups of about this much.
+SORT_BYTES = 1 << 18
 #: Bytes of text in a shard.
 SHARD_BYTES = 2 << 20
 #: Window starts of a shard that are hashed at once.
@@ -190,11 +192,12 @@ def _stretches(buckets: int):
                 rows, first, distinct = _live(own, row["common"] or [])
                 least = np.full(len(first), _NONE)
                 np.minimum.at(least, distinct, own.doc[rows])
+                short = own.short()[rows[first]]
                 out: dict[str, list] = {"bucket": [], "shard": [], "body": []}
                 for number, part in _ordered(own, rows, first, buckets):
                     begin, end = own.begin[rows[first[part]]], own.end[rows[first[part]]] + LENGTH - 1
                     text = b"".join(own.data[a:b].tobytes() for a, b in zip(begin.tolist(), end.tolist(), strict=True))
-                    head = np.array([len(part)], "<i8").tobytes() + least[part].astype("<i8").tobytes() + (end - begin).astype("<i8").tobytes()
+                    head = np.array([len(part)], "<i8").tobytes() + least[part].astype("<i8").tobytes() + (end - begin).astype("<i8").tobytes() + short[part].tobytes()
                     out["bucket"].append(number)
                     out["shard"].append(row["shard"])
                     out["body"].append(zstandard.compress(head + text, 1))
@@ -284,6 +287,19 @@ def first_documents(stretches: np.ndarray, lengths: np.ndarray, least: np.ndarra
     return found[inside] if len(stretches) else found
 
 
+def _groups(short: np.ndarray, lengths: np.ndarray) -> Iterator[slice]:
+    """Runs of whole anchors (equal ``short`` stand together) of about ``SORT_BYTES`` each; a longer anchor is a run alone."""
+    heads = np.flatnonzero(np.diff(short.astype(np.int64), prepend=-1))
+    sizes = np.add.reduceat(lengths, heads)
+    begin, held = 0, 0
+    for head, size in zip(heads.tolist(), sizes.tolist(), strict=True):
+        if held and held + size > SORT_BYTES:
+            yield slice(begin, head)
+            begin, held = head, 0
+        held += size
+    yield slice(begin, len(short))
+
+
 def _sorted_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per shard and bucket, the smallest document of every window of its stretches."""
     held: dict[int, list[tuple[int, bytes]]] = {}
@@ -296,15 +312,25 @@ def _sorted_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             raw = zstandard.decompress(body)
             size = int(np.frombuffer(raw, "<i8", 1)[0])
             least, lengths = np.frombuffer(raw, "<i8", size, 8), np.frombuffer(raw, "<i8", size, 8 + 8 * size)
-            parts.append((shard, least, lengths, np.frombuffer(raw, np.uint8, -1, 8 + 16 * size)))
-        text, lengths, least = (np.concatenate([p[k] for p in parts]) for k in (3, 2, 1))
+            short, text = np.frombuffer(raw, "<u4", size, 8 + 16 * size), np.frombuffer(raw, np.uint8, -1, 8 + 20 * size)
+            ends = np.cumsum(lengths)
+            parts.append((shard, least, lengths, short, text, Hasher(text).spans(ends - lengths, ends)))
+        least, lengths, short, text, content = (np.concatenate([p[k] for p in parts]) for k in range(1, 6))
+        parts = [(p[0], len(p[1])) for p in parts]
         ends = np.cumsum(lengths)
-        content = Hasher(text).spans(ends - lengths, ends)
         _, first, distinct = np.unique(content, return_index=True, return_inverse=True)
+        # Distinct stretches by anchor, so that a group of anchors can be sorted without the others.
+        order = np.argsort(short[first], kind="stable")
+        first, distinct = first[order], np.argsort(order)[distinct]
         smallest = np.full(len(first), _NONE)
         np.minimum.at(smallest, distinct, least)
-        kept = np.concatenate([text[a:b] for a, b in zip((ends - lengths)[first].tolist(), ends[first].tolist(), strict=True)])
-        found = first_documents(kept, lengths[first], smallest)
+        found = []
+        for group in _groups(short[first], lengths[first]):
+            own = first[group]
+            kept = np.concatenate([text[a:b] for a, b in zip((ends - lengths)[own].tolist(), ends[own].tolist(), strict=True)])
+            found.append(first_documents(kept, lengths[own], smallest[group]))
+        found = np.concatenate(found)
+        del text
         counts = lengths[first] - LENGTH + 1
         at = np.cumsum(counts) - counts
         own_counts = lengths - LENGTH + 1
@@ -312,8 +338,10 @@ def _sorted_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         all_found = found[starts + np.arange(len(starts)) - np.repeat(np.cumsum(own_counts) - own_counts, own_counts)]
         out: dict[str, list] = {"bucket": [], "shard": [], "body": []}
         begin = 0
-        for shard, _, own_lengths, _ in parts:
-            end = begin + int((own_lengths - LENGTH + 1).sum())
+        number = 0
+        for shard, size in parts:
+            end = begin + int(own_counts[number : number + size].sum())
+            number += size
             out["bucket"].append(bucket)
             out["shard"].append(shard)
             out["body"].append(zstandard.compress(np.diff(all_found[begin:end], prepend=0).astype("<i8").tobytes(), 1))

@@ -514,3 +514,23 @@ def test_suffix_stretches_over_runs(spark, monkeypatch):
     cut = made()
     spread = lambda own: [(w, int(h), int(d)) for b, e, h, d in zip(own.begin, own.end, own.hash, own.doc, strict=True) for w in range(b, e)]
     assert spread(cut) == spread(one) and len(cut.begin) > len(one.begin)
+
+
+def test_suffix_buckets_by_groups_of_anchors(monkeypatch):
+    lines = [b"the same long line of fifty and more bytes stands in many texts %d, " % n for n in range(12)]
+    texts = [b"".join(lines[(n * k) % 12] for k in range(1, 5)) + b"text %d" % n for n in range(30)]
+
+    def found() -> list[tuple]:
+        rows = []
+        for shard, part in enumerate((texts[:17], texts[17:])):
+            ids = np.arange(17 * shard, 17 * shard + len(part)).astype("<i8").tobytes()
+            row = {"ids": [ids], "lengths": [np.array([len(t) for t in part], "<i8").tobytes()], "body": [zstandard.compress(b"".join(part))]}
+            own = suffix_dedup.Stretches(*(v[0] for v in row.values()))
+            batch = pa.RecordBatch.from_pydict({"shard": [shard], **row, "common": [[own.short().tobytes()]]})
+            rows.extend(suffix_dedup._stretches(3)([batch]))
+        return sorted((tuple(r.values()) for b in suffix_dedup._sorted_buckets(rows) for r in b.to_pylist()))
+
+    whole = found()
+    for size in (1, 200, 3000):
+        monkeypatch.setattr(suffix_dedup, "SORT_BYTES", size)
+        assert found() == whole
