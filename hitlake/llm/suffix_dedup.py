@@ -3,8 +3,10 @@
 Texts are packed into shards, which every step reads.  First, what cannot repeat is left aside without loss: every
 window of ``LENGTH`` bytes has an anchor (the substring of ``GRAM`` bytes with the smallest hash, the first one of
 equals), equal windows have equal anchors, and so windows whose anchor stands in one document alone are unique.
-The windows of each anchor that is left form one stretch of text.  Stretches are dealt out by anchor, equal ones are
-kept once with their smallest document, and each bucket's suffixes are sorted by the difference-cover algorithm:
+The windows of each anchor that is left form one stretch of text.  Stretches are dealt out by anchor, and equal ones
+are kept once with their smallest document.  No window stands twice within a stretch, and a window of two different
+stretches holds their anchor with ``SIDE`` more bytes before or after it, so the sides of a stretch that share these
+with no other one are done.  The suffixes of the sides that are left are sorted by the difference-cover algorithm:
 triples at two thirds of the places are sorted and named, the names' text is sorted in the same way until a name
 covers ``LENGTH`` bytes or is unique, and the other suffixes are sorted by first byte and next name and merged in.
 Neighbours in that order are compared by their first ``LENGTH`` bytes; the smallest document of each group of equal
@@ -32,6 +34,7 @@ from hitlake.storage import scratch_path
 
 LENGTH, GRAM = 50, 24
 _REACH = LENGTH - GRAM + 1  # places of an anchor within a window
+SIDE = (LENGTH - GRAM) // 2  # every window holds this many bytes before its anchor, or after it
 #: Bytes of text for each bucket of anchors.
 BUCKET_BYTES = 1 << 20
 #: Bytes of stretches that are sorted at once: a bucket's anchors are taken in groups of about this much.
@@ -72,11 +75,11 @@ class Stretches:
         self.data = np.frombuffer(zstandard.decompress(body) if body else b"", np.uint8)
         count = max(0, len(self.data) - LENGTH + 1)
         parts = [self._run(a, min(a + RUN_STARTS, count)) for a in range(0, count, RUN_STARTS)]
-        kinds = (np.int64, np.int64, np.uint64, np.uint64, np.int64)
-        self.begin, self.end, self.hash, self.content, self.doc = (np.concatenate([p[n] for p in parts]) if parts else np.zeros(0, kind) for n, kind in enumerate(kinds))
+        kinds = (np.int64, np.int64, np.uint64, np.uint64, np.int64, np.uint8)
+        self.begin, self.end, self.hash, self.content, self.doc, self.before = (np.concatenate([p[n] for p in parts]) if parts else np.zeros(0, kind) for n, kind in enumerate(kinds))
 
     def _run(self, a: int, b: int) -> tuple[np.ndarray, ...]:
-        """Begin, end (of window starts), anchor hash, content hash and document of the stretches that start in [a, b)."""
+        """Begin, end (of window starts), anchor hash, content hash, document and bytes before the anchor of the stretches that start in [a, b)."""
         hasher = Hasher(self.data[a : b + LENGTH - 1])
         grams = np.arange(b - a + _REACH - 1)
         value, place = hasher.spans(grams, grams + GRAM), grams.astype(np.int32)
@@ -94,7 +97,7 @@ class Stretches:
         heads = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])])) if len(whole) else whole
         begin = whole[heads]
         end = whole[np.append(heads[1:], len(whole)) - 1] + 1 if len(whole) else whole
-        return begin + a, end + a, value[whole][heads], hasher.spans(begin, end + LENGTH - 1), self.ids[doc[heads]]
+        return begin + a, end + a, value[whole][heads], hasher.spans(begin, end + LENGTH - 1), self.ids[doc[heads]], (anchor[heads] - begin).astype(np.uint8)
 
     def short(self) -> np.ndarray:
         """32 bits of each anchor's hash: enough to tell who may be shared."""
@@ -192,12 +195,12 @@ def _stretches(buckets: int):
                 rows, first, distinct = _live(own, row["common"] or [])
                 least = np.full(len(first), _NONE)
                 np.minimum.at(least, distinct, own.doc[rows])
-                short = own.short()[rows[first]]
+                short, before = own.short()[rows[first]], own.before[rows[first]]
                 out: dict[str, list] = {"bucket": [], "shard": [], "body": []}
                 for number, part in _ordered(own, rows, first, buckets):
                     begin, end = own.begin[rows[first[part]]], own.end[rows[first[part]]] + LENGTH - 1
                     text = b"".join(own.data[a:b].tobytes() for a, b in zip(begin.tolist(), end.tolist(), strict=True))
-                    head = np.array([len(part)], "<i8").tobytes() + least[part].astype("<i8").tobytes() + (end - begin).astype("<i8").tobytes() + short[part].tobytes()
+                    head = np.array([len(part)], "<i8").tobytes() + least[part].astype("<i8").tobytes() + (end - begin).astype("<i8").tobytes() + short[part].tobytes() + before[part].tobytes()
                     out["bucket"].append(number)
                     out["shard"].append(row["shard"])
                     out["body"].append(zstandard.compress(head + text, 1))
@@ -287,8 +290,23 @@ def first_documents(stretches: np.ndarray, lengths: np.ndarray, least: np.ndarra
     return found[inside] if len(stretches) else found
 
 
+def _steps(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each of the sizes, end to end."""
+    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def _repeated(keys: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """Whether another row holds the same key, among the rows where it is there."""
+    out = np.zeros(len(keys), bool)
+    _, at, counts = np.unique(keys[there], return_inverse=True, return_counts=True)
+    out[there] = counts[at] > 1
+    return out
+
+
 def _groups(short: np.ndarray, lengths: np.ndarray) -> Iterator[slice]:
     """Runs of whole anchors (equal ``short`` stand together) of about ``SORT_BYTES`` each; a longer anchor is a run alone."""
+    if not len(short):
+        return
     heads = np.flatnonzero(np.diff(short.astype(np.int64), prepend=-1))
     sizes = np.add.reduceat(lengths, heads)
     begin, held = 0, 0
@@ -312,30 +330,39 @@ def _sorted_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             raw = zstandard.decompress(body)
             size = int(np.frombuffer(raw, "<i8", 1)[0])
             least, lengths = np.frombuffer(raw, "<i8", size, 8), np.frombuffer(raw, "<i8", size, 8 + 8 * size)
-            short, text = np.frombuffer(raw, "<u4", size, 8 + 16 * size), np.frombuffer(raw, np.uint8, -1, 8 + 20 * size)
+            short, before = np.frombuffer(raw, "<u4", size, 8 + 16 * size), np.frombuffer(raw, np.uint8, size, 8 + 20 * size)
+            text = np.frombuffer(raw, np.uint8, -1, 8 + 21 * size)
             ends = np.cumsum(lengths)
-            parts.append((shard, least, lengths, short, text, Hasher(text).spans(ends - lengths, ends)))
-        least, lengths, short, text, content = (np.concatenate([p[k] for p in parts]) for k in range(1, 6))
+            starts, anchor, hasher = ends - lengths, ends - lengths + before, Hasher(text)
+            sides = hasher.spans(np.maximum(anchor - SIDE, starts), anchor + GRAM), hasher.spans(anchor, np.minimum(anchor + GRAM + SIDE, ends))
+            parts.append((shard, least, lengths, short, before, text, hasher.spans(starts, ends), *sides))
+        least, lengths, short, before, text, content, left, right = (np.concatenate([p[k] for p in parts]) for k in range(1, 9))
         parts = [(p[0], len(p[1])) for p in parts]
-        ends = np.cumsum(lengths)
         _, first, distinct = np.unique(content, return_index=True, return_inverse=True)
         # Distinct stretches by anchor, so that a group of anchors can be sorted without the others.
         order = np.argsort(short[first], kind="stable")
         first, distinct = first[order], np.argsort(order)[distinct]
         smallest = np.full(len(first), _NONE)
         np.minimum.at(smallest, distinct, least)
-        found = []
-        for group in _groups(short[first], lengths[first]):
-            own = first[group]
-            kept = np.concatenate([text[a:b] for a, b in zip((ends - lengths)[own].tolist(), ends[own].tolist(), strict=True)])
-            found.append(first_documents(kept, lengths[own], smallest[group]))
-        found = np.concatenate(found)
-        del text
         counts = lengths[first] - LENGTH + 1
         at = np.cumsum(counts) - counts
+        found = np.repeat(smallest, counts)
+        # The windows with SIDE bytes or more before the anchor come first, up to ``middle``.
+        middle = before[first].astype(np.int64) - SIDE
+        earlier, later = _repeated(left[first], middle >= 0), _repeated(right[first], middle < counts)
+        low = np.where(earlier, 0, np.maximum(middle, 0))
+        high = np.where(later, counts, np.minimum(middle + 1, counts))
+        open_ = np.flatnonzero(earlier | later)
+        begins = (np.cumsum(lengths) - lengths)[first]
+        for group in _groups(short[first][open_], (high - low)[open_] + LENGTH - 1):
+            own = open_[group]
+            a, size = begins[own] + low[own], high[own] - low[own]
+            kept = text[np.repeat(a, size + LENGTH - 1) + _steps(size + LENGTH - 1)]
+            found[np.repeat(at[own] + low[own], size) + _steps(size)] = first_documents(kept, size + LENGTH - 1, smallest[own])
+        del text
         own_counts = lengths - LENGTH + 1
         starts = np.repeat(at[distinct], own_counts)
-        all_found = found[starts + np.arange(len(starts)) - np.repeat(np.cumsum(own_counts) - own_counts, own_counts)]
+        all_found = found[starts + _steps(own_counts)]
         out: dict[str, list] = {"bucket": [], "shard": [], "body": []}
         begin = 0
         number = 0
