@@ -43,6 +43,7 @@ SORT_BYTES = 1 << 18
 SHARD_BYTES = 2 << 20
 #: Window starts of a shard that are hashed at once.
 RUN_STARTS = 1 << 18
+_PLACE_BITS = 20  # of a place within a run; the same for every run, so that equal windows have equal anchors
 _NONE = np.iinfo(np.int64).max
 
 _SHARD = "shard bigint, ids binary, lengths binary, body binary"
@@ -82,22 +83,25 @@ class Stretches:
         """Begin, end (of window starts), anchor hash, content hash, document and bytes before the anchor of the stretches that start in [a, b)."""
         hasher = Hasher(self.data[a : b + LENGTH - 1])
         grams = np.arange(b - a + _REACH - 1)
-        value, place = hasher.spans(grams, grams + GRAM), grams.astype(np.int32)
+        value = hasher.spans(grams, grams + GRAM)
+        # The place in the low bits: the smallest is the first one of equals, and says where it stands.
+        low = np.uint64(_PLACE_BITS)
+        least = value >> low << low | grams.astype(np.uint64)
         width = 1
-        while width < _REACH:  # the smallest of the next ``width`` grams, the first of equals
+        while width < _REACH:  # the smallest of the next ``width`` grams
             step = min(width, _REACH - width)
-            later = value[step:] < value[:-step]
-            place = np.where(later, place[step:], place[:-step])
-            value = np.where(later, value[step:], value[:-step])
+            least = np.minimum(least[step:], least[:-step])
             width += step
+        place = (least & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
         starts = np.arange(a, b)
-        doc = np.searchsorted(self.offsets, starts, "right") - 1
+        edges = np.searchsorted(starts, self.offsets)
+        doc = np.repeat(np.arange(len(self.ids)), np.diff(edges))
         whole = np.flatnonzero(starts + LENGTH <= self.offsets[doc + 1])
         anchor, doc = place[whole], doc[whole]
         heads = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])])) if len(whole) else whole
         begin = whole[heads]
         end = whole[np.append(heads[1:], len(whole)) - 1] + 1 if len(whole) else whole
-        return begin + a, end + a, value[whole][heads], hasher.spans(begin, end + LENGTH - 1), self.ids[doc[heads]], (anchor[heads] - begin).astype(np.uint8)
+        return begin + a, end + a, value[anchor[heads]], hasher.spans(begin, end + LENGTH - 1), self.ids[doc[heads]], (anchor[heads] - begin).astype(np.uint8)
 
     def short(self) -> np.ndarray:
         """32 bits of each anchor's hash: enough to tell who may be shared."""
