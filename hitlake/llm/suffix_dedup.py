@@ -2,11 +2,11 @@
 
 Texts are packed into shards, which every step reads.  First, what cannot repeat is left aside without loss: every
 window of ``LENGTH`` bytes has an anchor (the substring of ``GRAM`` bytes with the smallest hash, the first one of
-equals), equal windows have equal anchors, and so windows whose anchor stands in one document alone are unique.
-The windows of each anchor that is left form one stretch of text.  Stretches are dealt out by anchor, and equal ones
-are kept once with their smallest document.  No window stands twice within a stretch, and a window of two different
-stretches holds their anchor with ``SIDE`` more bytes before or after it, so the sides of a stretch that share these
-with no other one are done.  The suffixes of the sides that are left are sorted by the difference-cover algorithm:
+equals), and equal windows have equal anchors.  The windows of each anchor form one stretch of text; each holds the anchor with
+``SIDE`` more bytes before or after it, so a stretch has two sides, and windows of a side that stands in one document
+alone are unique.  Stretches with a side that several documents hold are dealt out by anchor, and equal ones are kept
+once with their smallest document.  No window stands twice within a stretch, so sides that only one of the different
+stretches has are done.  The suffixes of the sides that are left are sorted by the difference-cover algorithm:
 triples at two thirds of the places are sorted and named, the names' text is sorted in the same way until a name
 covers ``LENGTH`` bytes or is unique, and the other suffixes are sorted by first byte and next name and merged in.
 Neighbours in that order are compared by their first ``LENGTH`` bytes; the smallest document of each group of equal
@@ -76,11 +76,11 @@ class Stretches:
         self.data = np.frombuffer(zstandard.decompress(body) if body else b"", np.uint8)
         count = max(0, len(self.data) - LENGTH + 1)
         parts = [self._run(a, min(a + RUN_STARTS, count)) for a in range(0, count, RUN_STARTS)]
-        kinds = (np.int64, np.int64, np.uint64, np.uint64, np.int64, np.uint8)
-        self.begin, self.end, self.hash, self.content, self.doc, self.before = (np.concatenate([p[n] for p in parts]) if parts else np.zeros(0, kind) for n, kind in enumerate(kinds))
+        kinds = (np.int64, np.int64, np.uint64, np.uint64, np.int64, np.uint8, np.uint64, np.uint64)
+        self.begin, self.end, self.hash, self.content, self.doc, self.before, self.left, self.right = (np.concatenate([p[n] for p in parts]) if parts else np.zeros(0, kind) for n, kind in enumerate(kinds))
 
     def _run(self, a: int, b: int) -> tuple[np.ndarray, ...]:
-        """Begin, end (of window starts), anchor hash, content hash, document and bytes before the anchor of the stretches that start in [a, b)."""
+        """Begin, end (of window starts), anchor hash, content hash, document, bytes before the anchor and hashes of both sides, for the stretches that start in [a, b)."""
         hasher = Hasher(self.data[a : b + LENGTH - 1])
         grams = np.arange(b - a + _REACH - 1)
         value = hasher.spans(grams, grams + GRAM)
@@ -101,10 +101,18 @@ class Stretches:
         heads = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])])) if len(whole) else whole
         begin = whole[heads]
         end = whole[np.append(heads[1:], len(whole)) - 1] + 1 if len(whole) else whole
-        return begin + a, end + a, value[anchor[heads]], hasher.spans(begin, end + LENGTH - 1), self.ids[doc[heads]], (anchor[heads] - begin).astype(np.uint8)
+        at, last = anchor[heads], end + LENGTH - 1
+        left, right = hasher.spans(np.maximum(at - SIDE, begin), at + GRAM), hasher.spans(at, np.minimum(at + GRAM + SIDE, last))
+        return begin + a, end + a, value[at], hasher.spans(begin, last), self.ids[doc[heads]], (at - begin).astype(np.uint8), left, right
+
+    def sides(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the sides that have windows, and the stretch of each."""
+        middle = self.before.astype(np.int64) - SIDE
+        left, right = np.flatnonzero(middle >= 0), np.flatnonzero(middle < self.end - self.begin)
+        return np.concatenate([self.left[left], ~self.right[right]]), np.concatenate([left, right])
 
     def short(self) -> np.ndarray:
-        """32 bits of each anchor's hash: enough to tell who may be shared."""
+        """32 bits of each anchor's hash, by which stretches are dealt out."""
         return (self.hash >> np.uint64(32)).astype("<u4")
 
 
@@ -133,20 +141,27 @@ _PART = pa.schema([("bucket", pa.int32()), ("shard", pa.int64()), ("body", pa.bi
 _PART_DDL = "bucket int, shard bigint, body binary"
 
 
-def _anchors(buckets: int):
-    """For each shard and bucket the distinct short hashes, and whether several of the shard's documents hold each."""
+def _names(hashes: np.ndarray) -> np.ndarray:
+    """The half of the hashes that tells sides of one bucket apart; the other half gives the bucket."""
+    return (hashes & np.uint64(0xFFFFFFFF)).astype("<u4")
+
+
+def _sides(buckets: int):
+    """For each shard and bucket the sides' names, and whether several of the shard's documents hold each."""
 
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
                 own = Stretches(row["ids"], row["lengths"], row["body"])
-                short = own.short()
-                order = np.lexsort((own.doc, short))
-                heads = np.flatnonzero(np.concatenate([[True], short[order][1:] != short[order][:-1]])) if len(order) else order
-                several = own.doc[order[heads]] != own.doc[order[np.append(heads[1:], len(order)) - 1]] if len(order) else order.astype(bool)
-                names = short[order[heads]]
+                hashes, stretch = own.sides()
+                hashes, at = np.unique(hashes, return_inverse=True)
+                docs = own.doc[stretch]
+                first, last = np.full(len(hashes), _NONE), np.full(len(hashes), np.iinfo(np.int64).min)
+                np.minimum.at(first, at, docs)
+                np.maximum.at(last, at, docs)
+                several, names = first != last, _names(hashes)
                 out: dict[str, list] = {"bucket": [], "shard": [], "body": []}
-                for number, part in _cut(np.arange(len(names)), _bucket(names, buckets)):
+                for number, part in _cut(np.arange(len(names)), _bucket(hashes >> np.uint64(32), buckets)):
                     out["bucket"].append(number)
                     out["shard"].append(row["shard"])
                     out["body"].append(names[part].tobytes() + several[part].astype(np.uint8).tobytes())
@@ -156,7 +171,7 @@ def _anchors(buckets: int):
 
 
 def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per shard and bucket, the short hashes that more than one document holds."""
+    """Per shard and bucket, the names that more than one document holds."""
     held: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}
     for batch in batches:
         for bucket, shard, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -170,14 +185,14 @@ def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, own, _ in parts:
             out["bucket"].append(bucket)
             out["shard"].append(shard)
-            out["body"].append(own[np.isin(own, common, assume_unique=True)].tobytes())
+            out["body"].append(own[np.isin(own, common)].tobytes())
         yield _sent(out, _PART)
 
 
 def _live(own: Stretches, common: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Stretches whose anchor may be shared, as rows of distinct ones: (rows, first row of each, distinct row of each)."""
-    names = np.frombuffer(b"".join(common), "<u4")
-    rows = np.flatnonzero(np.isin(own.short(), names))
+    """Stretches with a shared side, as rows of distinct ones: (rows, first row of each, distinct row of each)."""
+    hashes, stretch = own.sides()
+    rows = np.unique(stretch[np.isin(_names(hashes), np.frombuffer(b"".join(common), "<u4"))])
     content = own.content[rows] ^ own.hash[rows]
     _, first, distinct = np.unique(content, return_index=True, return_inverse=True)
     return rows, first, distinct
@@ -438,7 +453,7 @@ def dedup(rows: DataFrame, key: str = "doc_id", text: str = "text", texts: bool
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(4 * parts, 1 + int(size) // BUCKET_BYTES)
     tasks = max(parts, buckets // 4)
-    common = shards.mapInArrow(_anchors(buckets), _PART_DDL).repartition(tasks, "bucket").mapInArrow(_shared, _PART_DDL)
+    common = shards.mapInArrow(_sides(buckets), _PART_DDL).repartition(tasks, "bucket").mapInArrow(_shared, _PART_DDL)
     common = stored(common.groupBy("shard").agg(F.collect_list("body").alias("common")), "suffix-common")
     known = shards.join(common, "shard", "left")
     found = known.mapInArrow(_stretches(buckets), _PART_DDL).repartition(tasks, "bucket").mapInArrow(_sorted_buckets, _PART_DDL)

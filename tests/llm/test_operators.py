@@ -526,7 +526,7 @@ def test_suffix_buckets_by_groups_of_anchors(monkeypatch):
             ids = np.arange(17 * shard, 17 * shard + len(part)).astype("<i8").tobytes()
             row = {"ids": [ids], "lengths": [np.array([len(t) for t in part], "<i8").tobytes()], "body": [zstandard.compress(b"".join(part))]}
             own = suffix_dedup.Stretches(*(v[0] for v in row.values()))
-            batch = pa.RecordBatch.from_pydict({"shard": [shard], **row, "common": [[own.short().tobytes()]]})
+            batch = pa.RecordBatch.from_pydict({"shard": [shard], **row, "common": [[suffix_dedup._names(own.sides()[0]).tobytes()]]})
             rows.extend(suffix_dedup._stretches(3)([batch]))
         return sorted((tuple(r.values()) for b in suffix_dedup._sorted_buckets(rows) for r in b.to_pylist()))
 
