@@ -20,6 +20,7 @@ from hitlake.plans.lake import add_columns, business_join, hits_on, not_loaded,
 from hitlake.plans.ledger import mark_done, pending, read_ledger
 from hitlake.plans.load import load
 from hitlake.plans.publish import STEPS, finish, publish, stage
+from hitlake.plans.rollup import merged_visitors, visitor_sketches
 from hitlake.sources.bundle import as_lookup, extract_lines, parse_lines
 from hitlake.sources.hits import drop_empty, read_hits, read_hits_spread, with_date
 from hitlake.sources.landing import (
@@ -432,6 +433,25 @@ def stream_archive(spark, sf_dir):
     return spark.read.parquet(target).select("event_id", "nation_id", "nation", "date")
 
 
+def stream_dedupe(spark, sf_dir):
+    """A stream over a feed that delivers each file twice."""
+    path, target = scratch_path(spark, "twice-feed"), scratch_path(spark, "once-stream")
+    for again in ("first", "second"):
+        _write_feed(spark, sf_dir, f"{path}/{again}")
+    lookups = {"nation": _nations(spark, sf_dir)}
+    options = {"pattern": "*.csv.gz", "max_files": 20, "dedupe_on": ["event_id"]}
+    ingest(spark, path, target, f"{target}-checkpoint", lookups, FEED_SCHEMA, [("nation", "nation")], **options).awaitTermination()
+    return spark.read.parquet(target).select("event_id", "nation_id", "nation", "date")
+
+
+def visitor_rollup(spark, sf_dir):
+    """Visitors per week and kind of hit, from sketches stored per date."""
+    path = scratch_path(spark, "visitor-sketches")
+    visitor_sketches(_daily_events(spark, sf_dir), "user_id", ["date", "event_type"]).write.parquet(path)
+    week = F.trunc("date", "week").alias("week")
+    return merged_visitors(spark.read.parquet(path), [week, "event_type"])
+
+
 def sync_partitions(spark, sf_dir):
     """The partitions of a lake after the folder of one day was removed."""
     path, table = scratch_path(spark, "synced"), f"hit_data_{uuid.uuid4().hex}"
@@ -608,6 +628,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "late_file_of_closed_day": late_file_of_closed_day,
         "stream_late_hits": stream_late_hits,
         "stream_archive": stream_archive,
+        "stream_dedupe": stream_dedupe,
+        "visitor_rollup": visitor_rollup,
         "sync_partitions": sync_partitions,
         "new_columns": new_columns,
         "crash_recovery": crash_recovery,
@@ -720,6 +742,9 @@ def oracle_sql() -> dict[str, str]:
         "late_file_of_closed_day": _STREAMED + " WHERE CAST(ts AS DATE) = DATE '2024-01-03'",
         "stream_late_hits": _STREAMED,
         "stream_archive": _STREAMED,
+        "stream_dedupe": _STREAMED,
+        "visitor_rollup": """SELECT CAST(date_trunc('week', ts) AS DATE) AS week, event_type, count(*) AS hits,
+            count(DISTINCT user_id) AS visitors FROM events GROUP BY ALL""",
         "sync_partitions": """SELECT DISTINCT 'date='||CAST(CAST(ts AS DATE) AS VARCHAR) AS partition FROM events
             WHERE CAST(ts AS DATE) <> DATE '2024-01-05'""",
         "new_columns": """SELECT event_id, event_type, CASE WHEN event_type = 'view' THEN value END AS value,

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,6 +19,17 @@ from hitlake.sources.schema import DEFAULT_ROLES, hit_schema
 from hitlake.storage import exists
 
 
+def first_arrivals(hits: DataFrame, keys: Sequence[str], within: str = "7 days") -> DataFrame:
+    """A stream's hits, each once, however often it is delivered ``within`` that time of its first arrival.
+
+    The state holds the ``keys`` of the hits of that time only.  Time is that of arrival, not of the hit: a late hit
+    is never dropped for being late.  A hit with a NULL among its keys is not identified and always counts as new.
+    """
+    unknown = reduce(or_, [F.col(c).isNull() for c in keys])
+    marked = hits.withColumns({"_arrived": F.current_timestamp(), "_alone": F.when(unknown, F.uuid())})
+    return marked.withWatermark("_arrived", within).dropDuplicatesWithinWatermark([*keys, "_alone"]).drop("_arrived", "_alone")
+
+
 def ingest(
     spark: SparkSession,
     source: str,
@@ -32,6 +46,8 @@ def ingest(
     trigger: Mapping[str, object] | None = None,
     unique: bool = False,
     table: str | None = None,
+    dedupe_on: Sequence[str] = (),
+    dedupe_within: str = "7 days",
     stop: Callable[[str], None] = lambda step: None,
 ) -> StreamingQuery:
     """Start a stream that appends new hit files to the lake; by default it ends when it has caught up.
@@ -47,6 +63,9 @@ def ingest(
 
     A batch is published like a page of a load, together with a note beside the checkpoint.  A batch that Spark
     replays is first finished or dropped, and skipped if its note is there: its hits are in the lake once.
+
+    ``dedupe_on`` keeps one of the hits that agree in these keys, whichever files of the last ``dedupe_within`` they
+    came in (see :func:`first_arrivals`); the lake is not read for it.
     """
     schema = hit_schema() if schema is None else schema
     reader = spark.readStream.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
@@ -61,15 +80,19 @@ def ingest(
     fixed = None if callable(lookups) else prepared(lookups)
     written = f"{checkpoint.rstrip('/')}-batches"
 
+    def parsed(lines: DataFrame) -> DataFrame:
+        return with_date(drop_empty(parse_hits(lines, schema, LINE), schema.names), timestamp)
+
     def append(lines: DataFrame, batch: int) -> None:
         session = lines.sparkSession
         mark = f"{written}/{batch}"
         recover(session, target)
         if exists(session, mark):
+            if dedupe_on:  # The state must move on with the batch.
+                lines.write.format("noop").mode("overwrite").save()
             return
         ready = prepared(lookups(session)) if fixed is None else fixed
-        spread = spread_lines(lines, tasks) if tasks else lines
-        hits = with_date(drop_empty(parse_hits(spread, schema, LINE), schema.names), timestamp)
+        hits = lines if dedupe_on else parsed(spread_lines(lines, tasks) if tasks else lines)
         load_id = new_load_id()
         _, n_written = stage_checked(hits, ready, roles, target, load_id, bool(tasks), unique)
         stop("staged")
@@ -77,5 +100,8 @@ def ingest(
         stop("published")
         finish(session, target, manifest, stop)
 
-    stream = reader.text(source).writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
+    arriving = reader.text(source)
+    if dedupe_on:
+        arriving = first_arrivals(parsed(arriving), dedupe_on, dedupe_within)
+    stream = arriving.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     return stream.trigger(**(trigger or {"availableNow": True})).start()
