@@ -178,14 +178,15 @@ def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size = len(body) // 5
             held.setdefault(bucket, []).append((shard, np.frombuffer(body, "<u4", size), np.frombuffer(body, np.uint8, size, 4 * size)))
     for bucket, parts in held.items():
-        names, at = np.unique(np.concatenate([p[1] for p in parts]), return_inverse=True)
-        held_by = np.bincount(at, np.concatenate([p[2] for p in parts]) + 1.0)
-        common = names[held_by > 1]
+        _, at = np.unique(np.concatenate([p[1] for p in parts]), return_inverse=True)
+        common = (np.bincount(at, np.concatenate([p[2] for p in parts]) + 1.0) > 1)[at]
         out: dict[str, list] = {"bucket": [], "shard": [], "body": []}
+        begin = 0
         for shard, own, _ in parts:
             out["bucket"].append(bucket)
             out["shard"].append(shard)
-            out["body"].append(own[np.isin(own, common)].tobytes())
+            out["body"].append(own[common[begin : begin + len(own)]].tobytes())
+            begin += len(own)
         yield _sent(out, _PART)
 
 
