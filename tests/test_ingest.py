@@ -87,6 +87,22 @@ def test_a_stop_after_any_step_of_a_batch(spark, tmp_path, step):
     assert run(spark, tmp_path) == [(1, 1, "A", day(1)), (2, 1, "A", day(2)), (3, 1, "A", day(3))]
 
 
+def test_hits_delivered_again(spark, tmp_path):
+    """Within a batch, in a later batch, in a later run, after a replay; late ones and those without a key stay."""
+    incoming, options = tmp_path / "incoming", {"dedupe_on": ["n"], "max_files": 1}
+    write_gz(incoming / "01-suite_20240105-000000.tsv.gz", [hit(1, 5), hit(1, 5), hit("", 5), hit("", 5)])
+    write_gz(incoming / "02-suite_20240105-000000.tsv.gz", [hit(1, 5), hit(2, 1), hit("", 5)])
+    alone = (None, 1, "A", day(5))
+    first = sorted([(1, 1, "A", day(5)), (2, 1, "A", day(1)), *[alone] * 3], key=str)
+    assert run(spark, tmp_path, **options) == first
+    # As after a crash between the last batch's write and the stream's commit.
+    newest = max(int(p.name) for p in (tmp_path / "checkpoint" / "commits").iterdir() if p.name.isdigit())
+    for commit in (tmp_path / "checkpoint" / "commits").glob(f"*{newest}*"):
+        commit.unlink()
+    write_gz(incoming / "03-suite_20240105-000000.tsv.gz", [hit(2, 1), hit(3, 5)])
+    assert run(spark, tmp_path, **options) == sorted([*first, (3, 1, "A", day(5))], key=str)
+
+
 def test_stream_and_load_agree(spark, tmp_path):
     from conftest import write_bundle
 
