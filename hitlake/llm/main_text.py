@@ -35,6 +35,8 @@ LEAST, FEW = 0.3, 8
 
 # HTML elements by their part in a page.
 RAW = ("script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "math", "object", "xmp", "noembed", "noframes")
+FOREIGN = frozenset(("svg", "math"))  # may close themselves
+WHOLE = frozenset(("html", "body", "main", "article"))  # their classes tell of the page, not of a part
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset("head nav header footer aside form menu dialog button select option label fieldset script style noscript template iframe textarea title svg math object".split())
 BLOCKS = frozenset(
@@ -102,6 +104,8 @@ def blocks(page: str | None) -> list[tuple[str, str, bool, bool]]:
                 waiting.append(" ")
         if tag in ("li", "dd", "dt", "td", "th", "tr", "option") and stack[-1][0] == tag:
             close(tag)
+        if tag in FOREIGN and found[3].endswith("/"):
+            continue
         if tag in RAW:
             end = _RAW_END[tag].search(page, at)
             at = end.start() if end else len(page)
@@ -110,7 +114,7 @@ def blocks(page: str | None) -> list[tuple[str, str, bool, bool]]:
             continue
         names = " ".join(m[2] or m[3] or m[4] or "" for m in _CLASS.finditer(found[3])).lower()
         top = stack[-1]
-        noise = top[2] or tag in SKIPPED or bool(names and NOISE.search(names))
+        noise = top[2] or tag in SKIPPED or tag not in WHOLE and bool(names and NOISE.search(names))
         if tag in ("header",) and top[3] and not top[2]:
             noise = bool(names and NOISE.search(names))
         node = f"{top[1]}/{tag}{'.' + names if names else ''}" if tag in BLOCKS else top[1]

@@ -534,3 +534,11 @@ def test_suffix_buckets_by_groups_of_anchors(monkeypatch):
     for size in (1, 200, 3000):
         monkeypatch.setattr(suffix_dedup, "SORT_BYTES", size)
         assert found() == whole
+
+
+def test_page_wide_classes_and_closed_foreign_elements():
+    kept = lambda page: [b[1] for b in main_text.blocks(page) if not b[2]]
+    assert kept('<body class="no-sidebar"><article class="post no-comments"><p>Hello') == ["Hello"]
+    assert kept('<p>a</p><svg class="i"/><p>b</p><math/><p>c') == ["a", "b", "c"]
+    assert kept("<p>a</p><svg><text>no</text></svg><p>b") == ["a", "b"]
+    assert kept('<body><div class="sidebar">no</div><p>yes') == ["yes"]
