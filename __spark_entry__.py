@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitlake.operators.as_of_join import as_of_join
+from hitlake.operators.bloom_join import bloom_join_lookup
 from hitlake.operators.enrich import enrich, list_lookup
 from hitlake.plans.compact import compact
 from hitlake.plans.lake import add_columns, business_join, hits_on, not_loaded, refresh, register, write_hits
-from hitlake.plans.ledger import mark_done, pending, read_ledger
+from hitlake.plans.ledger import mark_done, pending, read_ledger, seal, sealable, sealed_days
 from hitlake.plans.load import load
 from hitlake.plans.publish import STEPS, finish, publish, stage
 from hitlake.plans.rollup import merged_visitors, visitor_sketches
@@ -30,18 +31,20 @@ from hitlake.sources.landing import (
     closed_days,
     day_batches,
     list_landing,
+    list_unsealed,
     removable,
 )
 from hitlake.sources.manifest import listed_files, manifest_days, parse_manifests
 from hitlake.sources.schema import DEFAULT_ROLES, hit_schema
-from hitlake.storage import remove, scratch_path, write_bytes
+from hitlake.storage import literal_path, remove, scratch_path, write_bytes
 from hitlake.streaming.ingest import ingest
 
 try:  # The training-data operators are an optional part.
     import corpus_pipeline
     from hitlake.llm import queries as llm_queries
 except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "hitlake.llm"):
+    # Left out, or installed without its extras (see pyproject.toml).
+    if missing.name not in ("corpus_pipeline", "hitlake.llm", "tokenizers", "sentencepiece", "xxhash", "zstandard"):
         raise
     llm_queries = None
 
@@ -201,6 +204,18 @@ def landing_listing(spark, sf_dir):
     return day_batches(files).where("n_files > 0 AND n_bytes > 0").select("feed_date")
 
 
+def landing_days_listed(spark, sf_dir):
+    """What is listed, and how many hits it holds, after all days but three of every seven were loaded and those before the last five sealed."""
+    feed, ledger = _feed(spark, sf_dir), scratch_path(spark, "sealed-ledger")
+    files = classify(list_landing(spark, feed), EXPORT_NAMES)
+    mark_done(files.where("kind = 'data' AND cast(feed_date AS int) % 7 > 2"), ledger)
+    seal(sealable(files, read_ledger(spark, ledger), keep=5), ledger)
+    listed = classify(list_unsealed(spark, feed, sealed_days(read_ledger(spark, ledger))), EXPORT_NAMES)
+    paths = [literal_path(row["path"]) for row in listed.where("kind = 'data'").select("path").collect()]
+    lines = spark.read.text(paths).select(F.regexp_extract(F.input_file_name(), EXPORT_NAMES.day_pattern, 1).alias("feed_date"))
+    return lines.groupBy("feed_date").agg(F.count("*").alias("n_hits"))
+
+
 def landing_feed_date(spark, sf_dir):
     return _names(spark, sf_dir).select("path", "feed_date")
 
@@ -305,6 +320,14 @@ def lookup_spread_join(spark, sf_dir):
     return enrich(hits, {"customer": customers}, [("customer", "customer")], broadcast_bytes=0)
 
 
+def lookup_bloom_join(spark, sf_dir):
+    """Nine of ten keys miss, some are NULL; a filter of the lookup's ids spares the misses the shuffle."""
+    key = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_custkey")).cast("bigint")
+    hits = _table(spark, sf_dir, "orders").select("o_orderkey", key.alias("customer_id"))
+    customers = as_lookup(_table(spark, sf_dir, "customer").where("c_custkey % 10 = 0"), "c_custkey", "c_name")
+    return bloom_join_lookup(hits, customers, "customer_id", "customer").drop("customer_match")
+
+
 def lookup_string_key(spark, sf_dir):
     raw = F.when(F.col("event_type") == "click", (F.col("user_id") % 30).cast("string"))
     hits = _table(spark, sf_dir, "events").select("event_id", raw.otherwise(F.col("event_type")).alias("key"))
@@ -595,6 +618,7 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "landing_listing": landing_listing,
+        "landing_days_listed": landing_days_listed,
         "landing_feed_date": landing_feed_date,
         "landing_batch_by_date": landing_batch_by_date,
         "landing_closed_dates": landing_closed_dates,
@@ -611,6 +635,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lookup_fanout": lookup_fanout,
         "lookup_chain": lookup_chain,
         "lookup_spread_join": lookup_spread_join,
+        "lookup_bloom_join": lookup_bloom_join,
         "lookup_string_key": lookup_string_key,
         "lookup_two_roles": lookup_two_roles,
         "list_lookup": list_lookup_inline,
@@ -677,6 +702,9 @@ def _standard_sql() -> str:
 def oracle_sql() -> dict[str, str]:
     return {
         "landing_listing": "SELECT DISTINCT strftime(ts, '%Y%m%d') AS feed_date FROM events",
+        "landing_days_listed": """WITH d AS (SELECT strftime(ts, '%Y%m%d') AS feed_date, count(*) AS n_hits FROM events GROUP BY 1)
+            SELECT feed_date, n_hits FROM (SELECT *, row_number() OVER (ORDER BY feed_date DESC) AS nth FROM d) t
+            WHERE nth <= 5 OR CAST(feed_date AS INTEGER) % 7 <= 2""",
         "landing_feed_date": _FILES + _FEED_DATE,
         "landing_batch_by_date": _FILES
         + f"""SELECT feed_date, count(*) AS n_files, min(path) AS first_path, max(path) AS last_path
@@ -714,6 +742,9 @@ def oracle_sql() -> dict[str, str]:
         "lookup_spread_join": """SELECT o_orderkey, key AS customer_id, c_name AS customer
             FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 1 WHEN o_orderkey % 7 <> 0 THEN o_custkey END
                          AS key FROM orders) o LEFT JOIN customer ON key = c_custkey""",
+        "lookup_bloom_join": """SELECT o_orderkey, key AS customer_id, c_name AS customer
+            FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS key FROM orders) o
+            LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 10 = 0) c ON key = c_custkey""",
         "lookup_string_key": """SELECT event_id, raw AS key_id, n_name AS key_name
             FROM (SELECT event_id, CASE WHEN event_type = 'click' THEN CAST(user_id % 30 AS VARCHAR)
                          ELSE event_type END AS raw FROM events) e

@@ -14,11 +14,11 @@ from pyspark.sql import types as T
 from hitlake.operators.enrich import enrich
 from hitlake.operators.lookup_join import INLINE_ROWS, Lookup, prepare
 from hitlake.plans.lake import not_loaded
-from hitlake.plans.ledger import mark_done, pending, read_ledger
+from hitlake.plans.ledger import mark_done, pending, read_ledger, seal, sealable, sealed_days
 from hitlake.plans.publish import finish, new_load_id, publish, recover, stage
 from hitlake.sources.bundle import lookup_table, read_lookups
 from hitlake.sources.columns import headers_by_day, read_hits_by_header
-from hitlake.sources.hits import drop_empty, literal_path, read_hits_spread, with_date
+from hitlake.sources.hits import drop_empty, read_hits_spread, with_date
 from hitlake.sources.landing import (
     FEED_NAMES,
     FeedNames,
@@ -27,11 +27,12 @@ from hitlake.sources.landing import (
     file_pages,
     latest_bundle,
     list_landing,
+    list_unsealed,
     removable,
 )
 from hitlake.sources.manifest import ManifestNames, listed_files, read_manifests
 from hitlake.sources.schema import DEFAULT_ROLES, hit_schema
-from hitlake.storage import list_files
+from hitlake.storage import list_files, literal_path
 
 # Compressed feed bytes per task: about the size of the Parquet file the task writes.
 TASK_BYTES = 128 << 20
@@ -142,6 +143,8 @@ def load(
     table: str | None = None,
     manifests: ManifestNames | None = None,
     header_member: str | None = None,
+    day_folder: str | None = None,
+    seal_after: int = 7,
     stop: Callable[[str], None] = lambda step: None,
 ) -> LoadReport:
     """Load every pending file of the closed days, then mark it in the ledger.
@@ -158,17 +161,22 @@ def load(
     With ``header_member`` the bundle's member of that name tells the columns of each day's files: columns are found by
     name, missing ones are NULL, and new ones are added to the lake as text.
 
+    With ``day_folder`` the landing area is one folder per day, found by that pattern (see ``list_unsealed``).  Loaded days
+    with ``seal_after`` newer ones are then sealed, and not listed again.
+
     A day is parsed and written by one task per ``task_bytes`` of its compressed files, or by ``files``
     tasks; so many files at most are written per day of the feed and date touched.
     """
     schema = hit_schema() if schema is None else schema
     recover(spark, target)
-    landing = classify(list_landing(spark, source), names).persist()
-    todo = pending(landing, read_ledger(spark, ledger)).persist()
+    known = read_ledger(spark, ledger)
+    listed = list_landing(spark, source) if day_folder is None else list_unsealed(spark, source, sealed_days(known), day_folder)
+    landing = classify(listed, names).persist()
+    todo = pending(landing, known).persist()
     combined = None
     if lookups is None:
         tables = [name for name, _ in roles]
-        combined = read_lookups(spark, latest_bundle(landing), tables).persist()
+        combined = read_lookups(spark, literal_path(latest_bundle(landing)), tables).persist()
         lookups = {name: lookup_table(combined, name) for name in tables}
     n_files, n_read, n_written = 0, Checksum(), Checksum()
     try:
@@ -205,6 +213,10 @@ def load(
         rest = removable(todo)
         if not rest.isEmpty():
             mark_done(rest.coalesce(1), ledger)
+        if day_folder is not None:
+            days = sealable(landing, read_ledger(spark, ledger), seal_after)
+            if not days.isEmpty():
+                seal(days, ledger)
     finally:
         for frame in (todo, landing, combined):
             if frame is not None:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitlake.functions.keys import try_integer
-from hitlake.sources.hits import literal_path
+from hitlake.storage import literal_path
 
 _BATCH_LINES = 8192
 

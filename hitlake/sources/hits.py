@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,11 +15,6 @@ from hitlake.sources.schema import hit_schema
 TSV_OPTIONS = {"sep": "\t", "quote": '"', "encoding": "UTF-8"}
 
 
-def literal_path(path: str) -> str:
-    """Escape glob characters, so that a listed path names just its own file."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
-
-
 def read_hits(
     spark: SparkSession,
     paths: str | Sequence[str],

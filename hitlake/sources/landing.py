@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hitlake.storage import list_top, literal_path
+
 
 @dataclass(frozen=True)
 class FeedNames:
@@ -20,9 +23,12 @@ class FeedNames:
 
 FEED_NAMES = FeedNames()
 
+# The day in the name of a day folder, such as 2024-01-05, 20240105 or date=2024-01-05.
+DAY_FOLDER = r"(?:^|=)(\d{4})-?(\d{2})-?(\d{2})$"
+
 
-def list_landing(spark: SparkSession, root: str) -> DataFrame:
-    """Every file below ``root``: ``path``, ``length``, ``modificationTime``.
+def list_landing(spark: SparkSession, root: str | list[str]) -> DataFrame:
+    """Every file below ``root`` (one or several): ``path``, ``length``, ``modificationTime``.
 
     File contents are never opened: Spark prunes the ``content`` column from the scan.  It skips files
     of no bytes, which hold no hits (a gzipped file is never empty).
@@ -31,6 +37,28 @@ def list_landing(spark: SparkSession, root: str) -> DataFrame:
     return files.select("path", "length", "modificationTime")
 
 
+def list_unsealed(spark: SparkSession, root: str, sealed: DataFrame, day_folder: str = DAY_FOLDER) -> DataFrame:
+    """The files of a landing area of day folders, without those of sealed days; the columns of :func:`list_landing`.
+
+    ``day_folder`` finds a day, as one or more groups, in a folder's name; ``sealed`` holds ``feed_date``.  The root is
+    looked at by one call that returns its folders and its own files (bundles, manifests).  Folders of sealed
+    days are never opened; the others, and folders that name no day, are listed by Spark, in tasks when there are many.
+    The driver so holds the names of days and the files of unsealed ones, however long the feed has run.
+    """
+    folders, files = list_top(spark, root)
+    done = {row["feed_date"] for row in sealed.select("feed_date").distinct().collect()}
+    unsealed = []
+    for path in folders:
+        day = re.search(day_folder, path.rsplit("/", 1)[1])
+        if day is None or "".join(day.groups()) not in done:
+            unsealed.append(path)
+    # Names that Spark itself would skip.
+    paths = [literal_path(path) for path in unsealed + files if not path.rsplit("/", 1)[1].startswith((".", "_"))]
+    if not paths:
+        return spark.createDataFrame([], "path string, length bigint, modificationTime timestamp")
+    return list_landing(spark, paths)
+
+
 def classify(files: DataFrame, names: FeedNames = FEED_NAMES) -> DataFrame:
     """Add ``kind`` (``data``, ``lookup`` or ``other``) and ``feed_date`` (data files only)."""
     path = F.col("path")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlake.sources.hits import literal_path
+from hitlake.storage import literal_path
 from hitlake.sources.landing import FEED_NAMES, FeedNames
 
 _FILES = "manifest string, name string, length bigint, records bigint"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,6 +19,11 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(context._jsc.hadoopConfiguration()), target
 
 
+def literal_path(path: str) -> str:
+    """Escape glob characters, so that a listed path names just its own file."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a file or folder at ``path``."""
     system, target = _file_system(spark, path)
@@ -72,6 +78,13 @@ def list_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return sorted(out)
 
 
+def list_top(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """The folders and the files of some bytes right below a folder, in order; nothing deeper is looked at."""
+    system, target = _file_system(spark, path)
+    found = [(status.getPath().toString(), status.isDirectory(), status.getLen()) for status in system.listStatus(target)]
+    return sorted(name for name, folder, _ in found if folder), sorted(name for name, folder, size in found if not folder and size)
+
+
 def list_folders(spark: SparkSession, path: str) -> list[str]:
     """The folders right below a folder, in order; none where it is missing."""
     system, target = _file_system(spark, path)

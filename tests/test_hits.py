@@ -5,7 +5,8 @@ from conftest import rows, write_gz
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hitlake.sources.hits import drop_empty, literal_path, read_hits, read_hits_spread, with_date
+from hitlake.sources.hits import drop_empty, read_hits, read_hits_spread, with_date
+from hitlake.storage import literal_path
 
 SCHEMA = T.StructType(
     [
