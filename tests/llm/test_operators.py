@@ -178,7 +178,7 @@ def test_blocks():
     <div class="comments">hi</div></article><footer>foot</footer></body></html>"""
     kept = [b[1] for b in main_text.blocks(page) if not b[2]]
     assert kept == ["Head & more", "One two three", "four", "a", "b"]
-    assert main_text.blocks(None) == [] and main_text.blocks("plain  text") == [("", "plain text", False, False)]
+    assert main_text.blocks(None) == [] and main_text.blocks("plain  text") == [("", "plain text", False, 0)]
 
 
 def test_site_style_tree(spark):
