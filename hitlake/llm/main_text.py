@@ -223,7 +223,10 @@ def style_tree(pages: DataFrame, url: str = "url", page: str = "html") -> DataFr
     nodes = values.groupBy("host", "node", "layout").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"))
     same = F.col("s") / F.col("m") / F.log("m")  # 1 - H
     importance = F.when(F.col("m") > 1, 1 - same * (1 - 1 / F.col("m"))).otherwise(1.0)
-    judged = nodes.select("host", "node", "layout", "m", importance.alias("importance"))
+    # Written once: both sides of the join below come from one pass over the pages.
+    path = scratch_path(pages.sparkSession, "style-nodes")
+    nodes.select("host", "node", "layout", "m", importance.alias("importance")).write.parquet(path)
+    judged = pages.sparkSession.read.parquet(path)
     layouts = judged.where("layout").select("host", F.col("node").alias("parent"), F.col("importance").alias("presentation"))
     parts = judged.where("NOT layout").select("host", "node", F.regexp_replace("node", "/[^/]*$", "").alias("parent"), F.col("m").alias("n_pages"), F.col("importance").alias("content"))
     mixed = (1 - LAYOUT) * F.col("content") + LAYOUT * F.col("presentation")
