@@ -1,5 +1,9 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -42,3 +46,22 @@ def test_entry(spark):
     day = contract.entry(spark)
     assert {str(row["date"]) for row in day.collect()} == {"2024-01-05"}
     assert day.columns == ["event_id", "user_id", "event_type", "value", "nation_id", "nation", "date"]
+
+
+WITHOUT = """
+import sys
+class Missing:
+    def find_spec(self, name, path=None, target=None):
+        if name == sys.argv[1]:
+            raise ModuleNotFoundError(f"No module named {name!r}", name=name)
+sys.meta_path.insert(0, Missing())
+import __spark_entry__ as contract
+assert "hits_tsv_scan" in contract.queries() and not any(name.startswith("op") for name in contract.queries())
+"""
+
+
+@pytest.mark.parametrize("missing", ["hitlake.llm", "corpus_pipeline", "zstandard", "xxhash"])
+def test_without_an_optional_part(missing):
+    root = Path(__file__).resolve().parent.parent
+    found = subprocess.run([sys.executable, "-c", WITHOUT, missing], cwd=root, capture_output=True, text=True)
+    assert found.returncode == 0, found.stderr
