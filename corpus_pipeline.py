@@ -1,7 +1,7 @@
 """The corpus pipeline: five stages over ``documents``, each by one operator of ``hitlake.llm``.
 
 Every stage takes all rows that its predecessor kept and returns rows with the columns of ``documents`` (the last
-one returns token ids).  Each result is written as Parquet and read again before the next stage.
+one returns token ids and the texts that they decode to).  Each result is written as Parquet and read again before the next stage.
 """
 
 from __future__ import annotations
@@ -18,6 +18,9 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Score from which on a document is rejected as toxic.
 TOXIC = 0.3
 
+#: Segmentations of every text.
+N_BEST = 4
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below ``TOXIC``; the model is fitted on the labelled ones among ``docs``."""
@@ -46,9 +49,9 @@ def redact_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The best segmentation of every text as piece ids, with its score."""
-    found = pieces.encode(docs.select(*COLUMNS), n_best=1)
-    return found.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_pieces"), "ids", F.col("scores")[0].alias("score"))
+    """The ``N_BEST`` best segmentations of every text with their scores, the first as ids and the others beside it, and the text that the first decodes to."""
+    found = pieces.decode(pieces.encode(docs.select(*COLUMNS), n_best=N_BEST).drop("text", "n_chars"))
+    return found.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_pieces"), "ids", F.col("scores")[0].alias("score"), "scores", "others", "decoded")
 
 
 STAGES = [

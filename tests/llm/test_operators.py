@@ -542,3 +542,17 @@ def test_page_wide_classes_and_closed_foreign_elements():
     assert kept('<p>a</p><svg class="i"/><p>b</p><math/><p>c') == ["a", "b", "c"]
     assert kept("<p>a</p><svg><text>no</text></svg><p>b") == ["a", "b"]
     assert kept('<body><div class="sidebar">no</div><p>yes') == ["yes"]
+
+
+def test_pipeline_searches_and_decodes(spark, docs):
+    import corpus_pipeline as cp
+
+    found = {r.doc_id: r for r in cp.encode(spark, docs, SF).collect()}
+    expected = {r.doc_id: r for r in pieces.digests(docs, n_best=4).collect()}
+    assert {n: r.scores for n, r in found.items()} == {n: r.scores for n, r in expected.items()}
+    crc = lambda ids: zlib.crc32(np.array(ids, "<i4").tobytes())
+    assert {n: [crc(ids) for ids in (r.ids, *r.others)] for n, r in found.items()} == {n: r.ids_crc32 for n, r in expected.items()}
+    assert any(len(r.others) == 3 for r in found.values()) and all(r.score == r.scores[0] for r in found.values())
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert {n for n, r in found.items() if r.decoded == texts[n]} == {n for n, r in expected.items() if r.round_trip}
+    assert sum(r.round_trip for r in expected.values()) > len(texts) // 2
