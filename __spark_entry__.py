@@ -155,9 +155,9 @@ def _standard_feed(spark: SparkSession, sf_dir: str) -> str:
         keys = {key: _standard_key(at, key, "STRING") for at, (_, key) in enumerate(DEFAULT_ROLES)}
         given = {"hitid_low": "event_id", "pagename": "event_type", "date_time": "ts", **keys}
         columns = [f"{given.get(name, repr(''))} AS {name}" for name in hit_schema().names]
-        events = _table(spark, sf_dir, "events").withColumn("_day", F.date_format("ts", "yyyyMMdd"))
-        # Shuffle the few source columns, not the wide rows.
-        feed = events.hint("rebalance", F.col("_day")).selectExpr(*columns, "_day AS feed_day")
+        events = _table(spark, sf_dir, "events").withColumn("_day", F.date_format("ts", "yyyyMMdd").cast("int"))
+        # Shuffle and sort the few source columns, not the wide rows; as a number the day keeps that order in the write.
+        feed = events.hint("rebalance", F.col("_day")).sortWithinPartitions("_day").selectExpr(*columns, "_day AS feed_day")
         writer = feed.write.partitionBy("feed_day").options(sep="\t", compression="gzip", emptyValue="")
         writer.csv(path)
         bundle = _nation_bundle(spark, sf_dir, {table for table, _ in DEFAULT_ROLES})

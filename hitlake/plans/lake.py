@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 
@@ -12,6 +13,29 @@ from pyspark.sql import functions as F
 from hitlake.storage import exists
 
 
+#: Dates that a task writes at once; only the hits of any further ones are sorted by date.
+OPEN_DATES = 4
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def _dates_at_once(spark: SparkSession) -> Iterator[None]:
+    """Tasks keep ``OPEN_DATES`` files open, unless the session has a number of its own.
+
+    Spark otherwise sorts all rows of a task by date before it writes them: rows of hundreds of columns, of which a
+    sort holds many times the bytes that the files take.
+    """
+    own = spark.conf.get(_WRITERS, "0")
+    if own != "0":
+        yield
+        return
+    spark.conf.set(_WRITERS, str(OPEN_DATES))
+    try:
+        yield
+    finally:
+        spark.conf.set(_WRITERS, own)
+
+
 def write_hits(hits: DataFrame, target: str, files: int | None = None, clustered: bool = False) -> None:
     """Append hits to the lake at ``target``.
 
@@ -27,7 +51,8 @@ def write_hits(hits: DataFrame, target: str, files: int | None = None, clustered
         hits = hits.repartition(files)
     elif not clustered:
         hits = hits.hint("rebalance", F.col("date"))
-    hits.write.mode("append").partitionBy("date").parquet(target)
+    with _dates_at_once(hits.sparkSession):
+        hits.write.mode("append").partitionBy("date").parquet(target)
 
 
 def register(spark: SparkSession, table: str, target: str, hits: DataFrame) -> None:

@@ -6,6 +6,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import DataFrameWriter
 
 import __spark_entry__ as contract
 
@@ -65,3 +66,11 @@ def test_without_an_optional_part(missing):
     root = Path(__file__).resolve().parent.parent
     found = subprocess.run([sys.executable, "-c", WITHOUT, missing], cwd=root, capture_output=True, text=True)
     assert found.returncode == 0, found.stderr
+
+
+def test_standard_feed_sorts_before_it_widens(spark, monkeypatch):
+    plans, own = [], DataFrameWriter.csv
+    monkeypatch.setattr(DataFrameWriter, "csv", lambda self, path: (plans.append(self._df._jdf.queryExecution().optimizedPlan()), own(self, path)))
+    monkeypatch.setattr(contract, "_once", lambda spark, sf_dir, label, make: make(contract.scratch_path(spark, label)))
+    contract._standard_feed(spark, SF)
+    assert plans[0].outputOrdering().mkString().startswith("feed_day")

@@ -3,6 +3,7 @@ import shutil
 
 import pytest
 from conftest import rows
+from pyspark.sql import DataFrameWriter
 
 from hitlake.plans.lake import (
     add_columns,
@@ -141,3 +142,15 @@ def test_business_join(spark):
     customers = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, "b")], "key bigint, segment string")
     out = business_join(lake, customers, "user", "key", ["segment"], "user")
     assert rows(out) == [("a", D1, 3, 2), ("b", D2, 1, 1)]
+
+
+def test_dates_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    """A task keeps the files of a few dates open; with more dates than that nothing is lost or cut up."""
+    seen, own = [], DataFrameWriter.parquet
+    number = lambda: spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0")
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: (seen.append(int(number())), own(self, path)))
+    data = [(n, None if n % 9 == 8 else D1 + dt.timedelta(days=n % 9)) for n in range(900)]
+    write_hits(hits(spark, *data).coalesce(1), str(tmp_path), clustered=True)
+    assert seen[0] > 1 and number() == "0"
+    assert rows(spark.read.parquet(str(tmp_path)).select("n", "date")) == sorted(data, key=str)
+    assert all(len(files(tmp_path, D1 + dt.timedelta(days=n))) == 1 for n in range(8))
