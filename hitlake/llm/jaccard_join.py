@@ -28,14 +28,17 @@ from pyspark.sql import functions as F
 
 from hitlake.llm.batches import grams, mix, runs, word_hashes
 from hitlake.llm.components import components as connect
+from hitlake.operators.bloom_join import id_filter, n_blocks_for, split_by_ids
 from hitlake.storage import scratch_path
 
 MEMBER = np.ones(256, bool)
 MEMBER[0x20] = MEMBER[0x09:0x0E] = False
 
 #: Cells of the count sketch: its size does not grow with the corpus.
-CELL_BITS = 18
-_CHUNK = 1 << 12
+CELL_BITS = 21
+_CHUNK = 1 << 15
+#: Bytes of text handled at once.
+_RUN_BYTES = 1 << 20
 #: Longest multi-match, and what verifying a candidate costs in postings read.
 MOST_MATCHES, VERIFY_COST = 4, 16.0
 #: Postings of one bucket, on average.
@@ -70,33 +73,37 @@ def count_sketch(texts: DataFrame, n: int) -> np.ndarray:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << CELL_BITS, np.int64)
-        for run in runs(batches, 0):
+        for run in runs(batches, 0, _RUN_BYTES):
             for own in _sets(run.column(0), n):
                 np.add.at(total, _cells(own), 1)
         if total.any():
-            parts = total.astype("<i8").reshape(-1, _CHUNK)
-            yield pa.RecordBatch.from_pydict({"chunk": pa.array(range(len(parts)), pa.int32()), "counts": pa.array([p.tobytes() for p in parts], pa.binary())})
+            yield packed(dict(enumerate(total.reshape(-1, _CHUNK))))
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for chunk, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                total[chunk] = total.get(chunk, 0) + np.frombuffer(counts, "<i8")
-        yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(total), pa.int32()), "counts": pa.array([t.tobytes() for t in total.values()], pa.binary())})
+                total[chunk] = total.get(chunk, 0) + np.frombuffer(zstandard.decompress(counts), "<u4").astype(np.int64)
+        yield packed(total)
+
+    def packed(total: dict[int, np.ndarray]) -> pa.RecordBatch:
+        bodies = [zstandard.compress(t.astype("<u4").tobytes(), 1) for t in total.values()]
+        return pa.RecordBatch.from_pydict({"chunk": pa.array(list(total), pa.int32()), "counts": pa.array(bodies, pa.binary())})
 
     schema = "chunk int, counts binary"
     summed = texts.select("text").mapInArrow(count, schema).repartition("chunk").mapInArrow(add, schema).toArrow()
-    out = np.zeros((1 << CELL_BITS) // _CHUNK * _CHUNK, np.int64).reshape(-1, _CHUNK)
+    out = np.zeros(1 << CELL_BITS, np.uint32).reshape(-1, _CHUNK)
     for chunk, counts in zip(summed.column(0).to_pylist(), summed.column(1).to_pylist(), strict=True):
-        out[chunk] = np.frombuffer(counts, "<i8")
+        out[chunk] = np.frombuffer(zstandard.decompress(counts), "<u4")
     return out.ravel()
 
 
 def _order(shingles: np.ndarray, sketch: np.ndarray, mean: float) -> tuple[np.ndarray, np.ndarray]:
     """Rank keys (rarity level, then hash), and about how many other texts hold each shingle."""
-    above = sketch[_cells(shingles)] / max(mean, 1.0)
-    level = np.clip(4 * np.log2(1 + above), 0, 63).astype(np.uint64)
-    return (level << np.uint64(58)) | (mix(shingles) >> np.uint64(6)), np.maximum(sketch[_cells(shingles)] - 1.5 * mean, 0.0)
+    # Counts beyond what other shingles put into a cell by chance, in standard deviations of that.
+    above = sketch[_cells(shingles)] - mean
+    level = np.clip(4 * np.log2(1 + np.maximum(above, 0) / (2 * max(mean, 1.0) ** 0.5)), 0, 63).astype(np.uint64)
+    return (level << np.uint64(58)) | (mix(shingles) >> np.uint64(6)), np.maximum(above - 2 * mean**0.5, 0.0)
 
 
 def _needed(size: int, percent: int) -> int:
@@ -128,7 +135,7 @@ def _profiles(texts: DataFrame, n: int, percent: int, sketch: np.ndarray) -> Dat
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         mean = float(counts.mean())
-        for run in runs(batches):
+        for run in runs(batches, limit=_RUN_BYTES):
             sizes, signs, matches, prefixes = [], [], [], []
             for own in _sets(run.column(1), n):
                 sizes.append(len(own))
@@ -280,8 +287,8 @@ def _counted(waiting: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def _bitmap(own: np.ndarray) -> bytes:
-    """About eight bits for each element, a power of two in all; the low bits of a hash tell its place."""
-    size = 1 << max(6, int(8 * len(own) - 1).bit_length())
+    """Two to four bits for each element, a power of two in all; the low bits of a hash tell its place."""
+    size = 1 << max(6, int(2 * len(own) - 1).bit_length())
     bits = np.zeros(size, np.uint8)
     bits[(own & np.uint64(size - 1)).astype(np.int64)] = 1
     return np.packbits(bits).tobytes()
@@ -289,7 +296,7 @@ def _bitmap(own: np.ndarray) -> bytes:
 
 def _shingle_sets(texts: DataFrame, n: int) -> DataFrame:
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in runs(batches):
+        for run in runs(batches, limit=_RUN_BYTES):
             sizes, packed, bitmaps = [], [], []
             for own in _sets(run.column(1), n):
                 sizes.append(len(own))
@@ -329,6 +336,12 @@ def _most_common(x: bytes, y: bytes, size_x: int, size_y: int) -> int:
     return min(size_x - int(np.bitwise_count(x & ~y).sum()), size_y - int(np.bitwise_count(y & ~x).sum()))
 
 
+def _among(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The rows whose ``key`` is among ``ids``, and about one of a hundred others: told by a broadcast filter, without a shuffle."""
+    n_blocks = n_blocks_for(ids.count())
+    return rows if n_blocks is None else split_by_ids(rows, key, id_filter(ids, n_blocks), n_blocks)[0]
+
+
 def _passing(pairs: DataFrame, sets: DataFrame, column: str, percent: int, exact: bool) -> DataFrame:
     """The pairs (a, b) that are similar by their whole sets, or may be by their bitmaps."""
 
@@ -340,6 +353,7 @@ def _passing(pairs: DataFrame, sets: DataFrame, column: str, percent: int, exact
                 keep.append(100 * common >= percent * (m + n - common))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    sets = _among(sets.select("doc_id", "size", column), "doc_id", pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
     left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col(column).alias("x"), F.col("size").alias("m")), "a")
     both = left.join(sets.select(F.col("doc_id").alias("b"), F.col(column).alias("y"), F.col("size").alias("n")), "b")
     return both.select("a", "b", "x", "y", "m", "n").mapInArrow(apply, "a bigint, b bigint")
@@ -372,8 +386,9 @@ def components(texts: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     # Whoever stands on a list with another text has a neighbour there; nobody else can be a candidate.
     places = near.select(F.explode(F.array("a", "b")).alias("doc_id"), "shared")
     wanted = _stored(places.groupBy("doc_id").agg(F.sum("shared").cast("int").alias("weight")), "wanted")
-    sets = _stored(_shingle_sets(texts.join(wanted, "doc_id", "left_semi"), n), "sets")
-    reps = _stored(reps.join(wanted, "doc_id"), "live")
+    ids = wanted.select(F.col("doc_id").alias("id"))
+    sets = _stored(_shingle_sets(_among(texts, "doc_id", ids), n), "sets")
+    reps = _stored(_among(reps, "doc_id", ids).join(wanted, "doc_id"), "live")
     roots = _stored(connect(_verified(near.where("likely").select("a", "b"), sets, percent)), "roots")
 
     def rooted() -> DataFrame:

@@ -556,3 +556,37 @@ def test_pipeline_searches_and_decodes(spark, docs):
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
     assert {n for n, r in found.items() if r.decoded == texts[n]} == {n for n, r in expected.items() if r.round_trip}
     assert sum(r.round_trip for r in expected.values()) > len(texts) // 2
+
+
+def test_jaccard_shared_passages_stand_last_in_the_order():
+    """A shingle of forty texts is told from those of one among ten million, so no prefix holds it."""
+    rng = np.random.default_rng(5)
+    once = rng.integers(0, 1 << 63, 300, dtype=np.uint64) * np.uint64(2)
+    often = rng.integers(0, 1 << 63, 30, dtype=np.uint64) * np.uint64(2)
+    cells = 1 << jaccard_join.CELL_BITS
+    sketch = rng.poisson(10_000_000 / cells, cells)
+    np.add.at(sketch, jaccard_join._cells(once), 1)
+    np.add.at(sketch, jaccard_join._cells(often), 40)
+    mean = float(sketch.mean())
+    keys, _ = jaccard_join.prefix(np.unique(np.concatenate([once, often])), sketch, mean, 80)
+    assert not np.isin(keys, jaccard_join._order(often, sketch, mean)[0]).any()
+
+
+def test_jaccard_sets_are_filtered_without_a_shuffle(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 7 > 0, F.col("id")).alias("doc_id"), F.lit("x").alias("own"))
+    ids = spark.range(0, 3000, 5)
+    some = jaccard_join._among(rows, "doc_id", ids)
+    found = {r.doc_id for r in some.collect()}
+    assert {n for n in range(0, 3000, 5) if n % 7} <= found and len(found) < 800 and None not in found
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in plan and plan.count("Join") == 1
+
+
+def test_jaccard_bitmaps_never_hide_a_shared_element():
+    rng = np.random.default_rng(6)
+    for size in (1, 5, 40, 700):
+        x = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        y = np.unique(np.concatenate([x[: size // 2], rng.integers(0, 1 << 63, size * 2, dtype=np.uint64)]))
+        bits = [jaccard_join._bitmap(own) for own in (x, y)]
+        assert jaccard_join._most_common(*bits, len(x), len(y)) >= len(np.intersect1d(x, y))
+        assert len(bits[0]) * 8 <= max(64, 4 * len(x))
