@@ -113,7 +113,11 @@ class Stretches:
 
     def short(self) -> np.ndarray:
         """32 bits of each anchor's hash, by which stretches are dealt out."""
-        return (self.hash >> np.uint64(32)).astype("<u4")
+        return _short(self.hash)
+
+
+def _short(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(32)).astype("<u4")
 
 
 def _bucket(short: np.ndarray, buckets: int) -> np.ndarray:
@@ -141,9 +145,31 @@ _PART = pa.schema([("bucket", pa.int32()), ("shard", pa.int64()), ("body", pa.bi
 _PART_DDL = "bucket int, shard bigint, body binary"
 
 
+#: Bytes of a side's name.  A side that shares its name by chance (about one of a hundred) is taken for one that
+#: several documents hold, so its stretch is sorted too: more work, the same result.
+_NAME_BYTES = 3
+
+
 def _names(hashes: np.ndarray) -> np.ndarray:
-    """The half of the hashes that tells sides of one bucket apart; the other half gives the bucket."""
-    return (hashes & np.uint64(0xFFFFFFFF)).astype("<u4")
+    """The low bytes of the hashes, a row for each, which tell sides of one bucket apart; the high half gives the bucket."""
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_NAME_BYTES]
+
+
+def _numbers(names: bytes) -> np.ndarray:
+    """Names as numbers."""
+    wide = np.zeros((len(names) // _NAME_BYTES, 4), np.uint8)
+    wide[:, :_NAME_BYTES] = np.frombuffer(names, np.uint8).reshape(-1, _NAME_BYTES)
+    return wide.view("<u4").ravel()
+
+
+def _by_byte(values: np.ndarray) -> bytes:
+    """Numbers as all their first bytes, all their second ones, ...: those that are zero compress to nothing."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+
+
+def _from_bytes(raw: bytes, kind: str, size: int, at: int) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, width * size, at).reshape(width, size).T).view(kind).ravel()
 
 
 def _sides(buckets: int):
@@ -164,7 +190,7 @@ def _sides(buckets: int):
                 for number, part in _cut(np.arange(len(names)), _bucket(hashes >> np.uint64(32), buckets)):
                     out["bucket"].append(number)
                     out["shard"].append(row["shard"])
-                    out["body"].append(names[part].tobytes() + several[part].astype(np.uint8).tobytes())
+                    out["body"].append(names[part].tobytes() + np.packbits(several[part]).tobytes())
                 yield _sent(out, _PART)
 
     return apply
@@ -175,25 +201,26 @@ def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}
     for batch in batches:
         for bucket, shard, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            size = len(body) // 5
-            held.setdefault(bucket, []).append((shard, np.frombuffer(body, "<u4", size), np.frombuffer(body, np.uint8, size, 4 * size)))
+            size = 8 * len(body) // (8 * _NAME_BYTES + 1)  # a name and a bit of each
+            several = np.unpackbits(np.frombuffer(body, np.uint8, -1, _NAME_BYTES * size))[:size]
+            held.setdefault(bucket, []).append((shard, np.frombuffer(body, np.uint8, _NAME_BYTES * size), several))
     for bucket, parts in held.items():
-        _, at = np.unique(np.concatenate([p[1] for p in parts]), return_inverse=True)
+        _, at = np.unique(_numbers(b"".join(p[1] for p in parts)), return_inverse=True)
         common = (np.bincount(at, np.concatenate([p[2] for p in parts]) + 1.0) > 1)[at]
         out: dict[str, list] = {"bucket": [], "shard": [], "body": []}
         begin = 0
-        for shard, own, _ in parts:
+        for shard, own, several in parts:
             out["bucket"].append(bucket)
             out["shard"].append(shard)
-            out["body"].append(own[common[begin : begin + len(own)]].tobytes())
-            begin += len(own)
+            out["body"].append(own.reshape(-1, _NAME_BYTES)[common[begin : begin + len(several)]].tobytes())
+            begin += len(several)
         yield _sent(out, _PART)
 
 
 def _live(own: Stretches, common: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Stretches with a shared side, as rows of distinct ones: (rows, first row of each, distinct row of each)."""
     hashes, stretch = own.sides()
-    rows = np.unique(stretch[np.isin(_names(hashes), np.frombuffer(b"".join(common), "<u4"))])
+    rows = np.unique(stretch[np.isin(_numbers(_names(hashes).tobytes()), _numbers(b"".join(common)))])
     content = own.content[rows] ^ own.hash[rows]
     _, first, distinct = np.unique(content, return_index=True, return_inverse=True)
     return rows, first, distinct
@@ -215,12 +242,12 @@ def _stretches(buckets: int):
                 rows, first, distinct = _live(own, row["common"] or [])
                 least = np.full(len(first), _NONE)
                 np.minimum.at(least, distinct, own.doc[rows])
-                short, before = own.short()[rows[first]], own.before[rows[first]]
+                before = own.before[rows[first]]
                 out: dict[str, list] = {"bucket": [], "shard": [], "body": []}
                 for number, part in _ordered(own, rows, first, buckets):
                     begin, end = own.begin[rows[first[part]]], own.end[rows[first[part]]] + LENGTH - 1
                     text = b"".join(own.data[a:b].tobytes() for a, b in zip(begin.tolist(), end.tolist(), strict=True))
-                    head = np.array([len(part)], "<i8").tobytes() + least[part].astype("<i8").tobytes() + (end - begin).astype("<i8").tobytes() + short[part].tobytes() + before[part].tobytes()
+                    head = np.array([len(part)], "<i8").tobytes() + _by_byte(least[part].astype("<i8")) + (end - begin).astype(np.uint8).tobytes() + before[part].tobytes()
                     out["bucket"].append(number)
                     out["shard"].append(row["shard"])
                     out["body"].append(zstandard.compress(head + text, 1))
@@ -349,11 +376,11 @@ def _sorted_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         for shard, body in held.pop(bucket):
             raw = zstandard.decompress(body)
             size = int(np.frombuffer(raw, "<i8", 1)[0])
-            least, lengths = np.frombuffer(raw, "<i8", size, 8), np.frombuffer(raw, "<i8", size, 8 + 8 * size)
-            short, before = np.frombuffer(raw, "<u4", size, 8 + 16 * size), np.frombuffer(raw, np.uint8, size, 8 + 20 * size)
-            text = np.frombuffer(raw, np.uint8, -1, 8 + 21 * size)
+            least, lengths = _from_bytes(raw, "<i8", size, 8), np.frombuffer(raw, np.uint8, size, 8 + 8 * size).astype(np.int64)
+            before, text = np.frombuffer(raw, np.uint8, size, 8 + 9 * size), np.frombuffer(raw, np.uint8, -1, 8 + 10 * size)
             ends = np.cumsum(lengths)
             starts, anchor, hasher = ends - lengths, ends - lengths + before, Hasher(text)
+            short = _short(hasher.spans(anchor, anchor + GRAM))
             sides = hasher.spans(np.maximum(anchor - SIDE, starts), anchor + GRAM), hasher.spans(anchor, np.minimum(anchor + GRAM + SIDE, ends))
             parts.append((shard, least, lengths, short, before, text, hasher.spans(starts, ends), *sides))
         least, lengths, short, before, text, content, left, right = (np.concatenate([p[k] for p in parts]) for k in range(1, 9))

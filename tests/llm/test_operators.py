@@ -536,6 +536,54 @@ def test_suffix_buckets_by_groups_of_anchors(monkeypatch):
         assert found() == whole
 
 
+def test_suffix_dedup_sends_few_bytes_a_side_and_a_stretch(monkeypatch):
+    """Before: 5 bytes for each side, and 21 bytes beside the text of each stretch."""
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(97, 123, 4000).astype(np.uint8).tobytes() for _ in range(6)]
+    row = {"shard": 0, "ids": np.arange(6).astype("<i8").tobytes(), "lengths": np.full(6, 4000, "<i8").tobytes(), "body": zstandard.compress(b"".join(texts))}
+    own = suffix_dedup.Stretches(row["ids"], row["lengths"], row["body"])
+    hashes, _ = own.sides()
+    sides = [r for b in suffix_dedup._sides(4)([pa.RecordBatch.from_pylist([row])]) for r in b.to_pylist()]
+    assert sum(len(r["body"]) for r in sides) < 3.3 * len(np.unique(hashes))
+    # Two shards that hold the same sides: all are shared, and come back to both by name.
+    twice = pa.RecordBatch.from_pylist([{**r, "shard": shard} for r in sides for shard in (0, 1)])
+    shared = [r for b in suffix_dedup._shared([twice]) for r in b.to_pylist()]
+    for shard in (0, 1):
+        names = b"".join(r["body"] for r in shared if r["shard"] == shard)
+        assert set(suffix_dedup._numbers(names)) == set(suffix_dedup._numbers(suffix_dedup._names(hashes).tobytes()))
+    batch = pa.RecordBatch.from_pydict({**{k: [v] for k, v in row.items()}, "common": [[names]]})
+    sent = [zstandard.decompress(r["body"]) for b in suffix_dedup._stretches(4)([batch]) for r in b.to_pylist()]
+    size = sum(int(np.frombuffer(raw, "<i8", 1)[0]) for raw in sent)
+    assert size == len(own.begin) and sum(map(len, sent)) == 8 * len(sent) + 10 * size + int((own.end - own.begin + suffix_dedup.LENGTH - 1).sum())
+
+
+def test_suffix_dedup_is_exact_when_names_collide(docs, odd, monkeypatch):
+    """A name shared by chance only adds work: with names of 256 values the result is the same."""
+
+    def rows(batches):
+        return [r for b in batches for r in b.to_pylist()]
+
+    def whole(texts) -> tuple[list, int]:
+        shards = []
+        for shard in range(3):
+            part = [t.encode() for t in texts[shard::3]]
+            ids, lengths = np.arange(shard, len(texts), 3).astype("<i8"), np.array([len(t) for t in part], "<i8")
+            shards.append({"shard": shard, "ids": ids.tobytes(), "lengths": lengths.tobytes(), "body": zstandard.compress(b"".join(part))})
+        batch = lambda more: pa.RecordBatch.from_pylist([{**r, **more(r["shard"])} for r in shards])
+        shared = rows(suffix_dedup._shared(suffix_dedup._sides(5)([pa.RecordBatch.from_pylist(shards)])))
+        common = lambda shard: {"common": [r["body"] for r in shared if r["shard"] == shard]}
+        sent = list(suffix_dedup._stretches(5)([batch(common)]))
+        found = rows(suffix_dedup._sorted_buckets(sent))
+        given = lambda shard: {**common(shard), "found": [r for r in found if r["shard"] == shard]}
+        return rows(suffix_dedup._cutter(5, False)([batch(given)])), sum(map(len, (r["body"] for b in sent for r in b.to_pylist())))
+
+    texts = [r.text or "" for frame in (docs, odd) for r in frame.collect()]
+    few, size = whole(texts)
+    monkeypatch.setattr(suffix_dedup, "_NAME_BYTES", 1)
+    many, more = whole(texts)
+    assert few == many and more > size and any(r["n_removed"] for r in few)
+
+
 def test_page_wide_classes_and_closed_foreign_elements():
     kept = lambda page: [b[1] for b in main_text.blocks(page) if not b[2]]
     assert kept('<body class="no-sidebar"><article class="post no-comments"><p>Hello') == ["Hello"]
