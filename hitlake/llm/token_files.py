@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hitlake.llm.batches import Hasher
 from hitlake.llm.ranges import in_order
 from hitlake.storage import scratch_path
 
@@ -135,13 +136,11 @@ class Encoder:
     """Ids of texts by one vocabulary file, where the ids of a word seen before are remembered.
 
     A byte-level vocabulary never joins a space and a visible character after it to what stands before them, so a text
-    is cut there and only words not seen before go to the library, many of them as one text; the bytes that each id
-    stands for tell their ids apart.  Any other vocabulary encodes whole texts.
+    is cut there (``_cuts``) and only words not seen before go to the library, many of them as one text; the bytes that
+    each id stands for tell their ids apart.  Words are known by 64-bit hashes, all of a batch at once.  Any other
+    vocabulary encodes whole texts.
     """
 
-    #: Before a space and a character that no version of Unicode takes for white space.
-    CUT = re.compile("(?= [!-~\u00a1-\u167f])")
-
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -159,23 +158,44 @@ class Encoder:
         added = [token.content for token in self.own.get_added_tokens_decoder().values()]
         self.bytewise &= not any(" " in token for token in added)
         self.added = re.compile("|".join(map(re.escape, added)) if added else "(?!)")
-        self.known: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        # Known words by hash in ascending order; where their ids stand in the pool, and how many.
+        self.hashes, self.begin, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.uint32)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(made.ids, np.uint32) for made in self.own.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _words(self, words: list[str]) -> Iterator[bytes]:
-        groups = [words[n : n + JOINED_WORDS] for n in range(0, len(words), JOINED_WORDS)]
-        for group, ids in zip(groups, self._whole(["".join(g) for g in groups]), strict=True):
-            reached = np.cumsum(self.widths[ids])
-            ends = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in group])
-            cuts = np.searchsorted(reached, ends)
-            if len(reached) and not (reached[cuts] == ends).all():
-                raise ValueError("the vocabulary joins words")
-            body, begin = ids.tobytes(), 0
-            for cut in (4 * cuts + 4).tolist():
-                yield body[begin:cut]
-                begin = cut
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words end to end, and how many each has; words are encoded many as one text."""
+        ids = self._whole(["".join(words[n : n + JOINED_WORDS]) for n in range(0, len(words), JOINED_WORDS)])
+        ids = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        ends = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in words])
+        reached = np.cumsum(self.widths[ids])
+        last = np.searchsorted(reached, ends)
+        if len(words) and (last[-1] != len(ids) - 1 or (reached[last] != ends).any()):
+            raise ValueError("the vocabulary joins words")
+        return ids, np.diff(last, prepend=-1)
+
+    def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, apart: np.ndarray, hashes: np.ndarray) -> None:
+        """Remember new words, given by their spans in ascending order of their hashes."""
+        body = data.tobytes()
+        word = [body[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        # A text's first word may lack the space that sets it apart, so such words are not joined.
+        alone, rest = np.flatnonzero(~apart), np.flatnonzero(apart)
+        single = self._whole([word[n] for n in alone])
+        ids, sizes = self._joined([word[n] for n in rest])
+        count = np.empty(len(word), np.int64)
+        count[rest], count[alone] = sizes, [len(x) for x in single]
+        begin = np.empty(len(word), np.int64)
+        begin[rest] = np.cumsum(sizes) - sizes
+        begin[alone] = len(ids) + np.cumsum(count[alone]) - count[alone]
+        place = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, place, hashes)
+        self.begin, self.count = np.insert(self.begin, place, begin + len(self.pool)), np.insert(self.count, place, count)
+        self.pool = np.concatenate([self.pool, ids, *single])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.bytewise:
@@ -186,22 +206,44 @@ class Encoder:
             for n, ids in zip(special, self._whole(list(special.values())), strict=True):
                 made.insert(n, ids)
             return made
-        cut = [self.CUT.split(text) for text in texts]
-        if len(self.known) > MEMORY_WORDS:
-            self.known.clear()
-        new = set().union(*cut) - self.known.keys() - {""}
-        # a text's first word may lack the space that sets it apart, so such words are not joined
-        first = [w for w in new.intersection(words[0] for words in cut) if not self.CUT.match(w)]
-        rest = list(new.difference(first))
-        known = self.known
-        known[""] = b""
-        known.update(zip(rest, self._words(rest), strict=True))
-        known.update((w, ids.tobytes()) for w, ids in zip(first, self._whole(first), strict=True))
-        made = [np.frombuffer(b"".join(map(known.__getitem__, words)), np.uint32) for words in cut]
-        for word in new:
-            if len(word) > MEMORY_CHARS:
-                del known[word]
-        return made
+        if len(self.hashes) > MEMORY_WORDS:
+            self.forget()
+        bodies = [text.encode() for text in texts]
+        offsets = np.cumsum([0, *map(len, bodies)])
+        data = np.frombuffer(b"".join(bodies), np.uint8)
+        apart = _cuts(data)
+        heads = apart.copy()
+        heads[offsets[:-1][offsets[1:] > offsets[:-1]]] = True
+        starts = np.flatnonzero(heads)
+        ends = np.append(starts[1:], len(data)) if len(starts) else starts
+        hashes, first, word = np.unique(Hasher(data).spans(starts, ends), return_index=True, return_inverse=True)
+        place = np.searchsorted(self.hashes, hashes)
+        new = place == len(self.hashes)
+        new[~new] = self.hashes[place[~new]] != hashes[~new]
+        if new.any():
+            own = first[new]
+            self._learn(data, starts[own], ends[own], apart[starts[own]], hashes[new])
+        place = np.searchsorted(self.hashes, hashes)[word]
+        begin, count = self.begin[place], self.count[place]
+        made = np.concatenate([[0], np.cumsum(count)])
+        ids = self.pool[np.repeat(begin - made[:-1], count) + np.arange(made[-1])]
+        bounds = made[np.searchsorted(starts, offsets)]
+        if new.any() and (long := new & (ends[first] - starts[first] > MEMORY_CHARS)).any():
+            gone = np.searchsorted(self.hashes, hashes[long])  # their ids stay in the pool until it is forgotten
+            self.hashes, self.begin, self.count = (np.delete(x, gone) for x in (self.hashes, self.begin, self.count))
+        return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+
+
+def _cuts(data: np.ndarray) -> np.ndarray:
+    """Where UTF-8 text has a space before a character of ! to ~ or U+00A1 to U+167F: one that no version of Unicode
+    takes for white space."""
+    out = data == 0x20
+    at = np.flatnonzero(out)
+    follows = lambda n: data[np.minimum(at + n, len(data) - 1)]
+    lead, second = follows(1), follows(2)
+    good = (lead >= 0x21) & (lead <= 0x7E) | (lead == 0xC2) & (second >= 0xA1) | (lead >= 0xC3) & (lead <= 0xE0) | (lead == 0xE1) & (second <= 0x99)
+    out[at] = good & (at + 1 < len(data))
+    return out
 
 
 _encoders: dict[str, Encoder] = {}

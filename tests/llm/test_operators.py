@@ -283,6 +283,26 @@ def test_remembered_words(docs, monkeypatch):
     assert [ids.tolist() for ids in own.encode(texts)] == expected
 
 
+def test_words_are_known_all_at_once():
+    """The ids of any mix of marks and spaces, by hashes of words that are looked up together; only new ones are encoded."""
+    draw = random.Random(9)
+    texts = ["", "it's", "(a)", "a.b,c", "'s 's's a's", "x\n\n y.\n z \n", "we'll've'd? \"Q\"; é. é,\nz9,9z", "a\r\n.b\t,c", "A" * 100 + "." * 100, "a\u2003. b\x85."]
+    texts += ["".join(draw.choice(["a", "Bc", "'", "'s", "'ll", ".", ",", "!", "\n", "\r", " ", "  ", "1", "é", "日", "\u00a0", "\u2003", "@", "_"]) for _ in range(draw.randrange(30))) for _ in range(1500)]
+    own = token_files.Encoder(token_files.default_vocabulary())
+    expected = [e.ids for e in own.own.encode_batch(texts, add_special_tokens=False)]
+    for step in (1, 50, len(texts)):
+        own.forget()
+        assert [ids.tolist() for n in range(0, len(texts), step) for ids in own.encode(texts[n : n + step])] == expected
+    asked = []
+    whole = own._whole
+    own._whole = lambda words: asked.extend(words) or whole(words)
+    own.forget()
+    own.encode(["the cat sat", "the cat ran", "x " * 70, "a b" + "c" * 70])
+    assert len(own.hashes) == 8 and asked.count("the") == 1 and "".join(asked).count("cat") == 1
+    asked.clear()
+    assert [len(ids) for ids in own.encode(["the cat ran", "the dog sat"])] == [3, 3] and asked == [" dog"]
+
+
 # 7 -------------------------------------------------------------------------------------------------
 
 
