@@ -42,6 +42,9 @@ TOGETHER, BATCH = 16, 10_000
 ENCODED_BYTES = 2 << 20
 #: Distinct words that a worker remembers, for each result wanted: searching again costs more the more there are.
 MEMORY = 250_000
+#: The same for a worker that also holds whole rows: bytes of text encoded at once, words searched together and
+#: remembered.
+ROW_BYTES, ROW_BATCH, ROW_WORDS = 1 << 20, 4_000, 100_000
 
 
 def default_model() -> str:
@@ -92,6 +95,24 @@ class _Rows:
         return out
 
 
+def _surface(model) -> list[bytes]:
+    """The bytes that each id stands for."""
+    out = []
+    for n in range(model.get_piece_size()):
+        piece = model.id_to_piece(n)
+        if model.is_byte(n):
+            out.append(bytes([int(piece[3:5], 16)]))
+        else:
+            out.append(b"" if model.is_control(n) or model.is_unknown(n) or model.is_unused(n) else piece.encode())
+    return out
+
+
+def _text(surface: list[bytes], ids: Iterable[int]) -> str:
+    """The text of piece ids; marks become spaces, and the first one goes."""
+    joined = b"".join(map(surface.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
+    return joined[1:] if joined.startswith(" ") else joined
+
+
 @dataclass
 class Found:
     """Segmentations of many words: costs and numbers of ids (words x N), and the packed ids of the best and the others."""
@@ -112,17 +133,13 @@ class Lattice:
         self.size = model.get_piece_size()
         self.pieces: dict[str, tuple[int, float]] = {}
         self.bytes = [0] * 256
-        self.surface: list[bytes] = []
+        self.surface = _surface(model)
         for n in range(self.size):
             piece = model.id_to_piece(n)
             if model.is_byte(n):
                 self.bytes[int(piece[3:5], 16)] = n
-                self.surface.append(bytes([int(piece[3:5], 16)]))
-            elif model.is_control(n) or model.is_unknown(n) or model.is_unused(n):
-                self.surface.append(b"")
-            else:
+            elif not (model.is_control(n) or model.is_unknown(n) or model.is_unused(n)):
                 self.pieces[piece] = ((n,), model.get_score(n))
-                self.surface.append(piece.encode())
         self.longest = max(map(len, self.pieces))
         self.unknown = min(score for _, score in self.pieces.values()) - UNKNOWN
         self.split = self._cuts()
@@ -292,15 +309,14 @@ class Lattice:
 
     def text(self, ids: Iterable[int]) -> str:
         """The text of piece ids; marks become spaces, and the first one goes."""
-        joined = b"".join(map(self.surface.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
-        return joined[1:] if joined.startswith(" ") else joined
+        return _text(self.surface, ids)
 
 
 class Encoder:
     """Segments whole texts; remembers the words it has seen."""
 
-    def __init__(self, model_file: str, count: int):
-        self.lattice, self.count = Lattice(model_file), count
+    def __init__(self, model_file: str, count: int, batch: int = BATCH, words: int | None = None):
+        self.lattice, self.count, self.batch, self.words = Lattice(model_file), count, batch, words
         self.forget()
 
     def forget(self) -> None:
@@ -312,7 +328,7 @@ class Encoder:
 
     def learn(self, words: list[str]) -> None:
         begin = len(self.ids)
-        found = [self.lattice.best_of_all(words[at : at + BATCH], self.count) for at in range(0, len(words), BATCH)]
+        found = [self.lattice.best_of_all(words[at : at + self.batch], self.count) for at in range(0, len(words), self.batch)]
         self.number.update(zip(words, range(begin, begin + len(words)), strict=True))
         for one in found:
             self.ids += one.best
@@ -328,7 +344,7 @@ class Encoder:
         """The N best segmentations of each text as (score, little-endian 32-bit ids), best first."""
         split = self.lattice.split.findall
         parts = [split(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        if len(self.number) > MEMORY * self.count:
+        if len(self.number) > (self.words or MEMORY * self.count):
             self.forget()
         fresh = sorted(set().union(*parts) - self.number.keys())
         self.learn(fresh)
@@ -385,18 +401,25 @@ class Encoder:
         return b"".join([*parts, best[begin:]])
 
 
-_encoders: dict[tuple[str, int], Encoder] = {}
+_encoders: dict[tuple, Encoder] = {}
 
 
-def _encoder(model_file: str, count: int) -> Encoder:
-    key = (model_file, count)
+def _encoder(*key) -> Encoder:
     if key not in _encoders:
-        _encoders[key] = Encoder(model_file, count)
+        _encoders[key] = Encoder(*key)
     return _encoders[key]
 
 
-def _wrapped(texts: DataFrame, text: str) -> DataFrame:
-    return texts.select(F.struct(*[F.col(f"`{n}`") for n in texts.columns]).alias("row"), F.col(text).alias("text"))
+_surfaces: dict[str, list[bytes]] = {}
+
+
+def _surface_of(model_file: str) -> list[bytes]:
+    """The bytes of each id, for decoding alone: without the tables of the lattice."""
+    if model_file not in _surfaces:
+        import sentencepiece
+
+        _surfaces[model_file] = _surface(sentencepiece.SentencePieceProcessor(model_file=model_file))
+    return _surfaces[model_file]
 
 
 def _ids(parts: list[bytes]) -> pa.Array:
@@ -408,11 +431,17 @@ def encode(texts: DataFrame, n_best: int = 1, text: str = "text", model_file: st
     """``texts`` with the best segmentation (ids array<int>), all scores (array<double>) and, for ``n_best`` above
     1, the others (array<array<int>>)."""
     model_file = model_file or default_model()
-    rows = _wrapped(texts, text)
+    row = F.struct(*[F.col(f"`{n}`") for n in texts.columns]).alias("row")
+    place = texts.columns.index(text) if text in texts.columns else None
+    rows = texts.select(row, *([] if place is not None else [F.col(text).alias("text")]))
+
+    def given(batch: pa.RecordBatch) -> pa.RecordBatch:
+        # The text is taken from its row, so that it is not sent twice.
+        return batch if place is None else pa.RecordBatch.from_arrays([batch.column(0), batch.column(0).field(place)], names=["row", "text"])
 
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _encoder(model_file, n_best)
-        for run in runs(batches, limit=ENCODED_BYTES):
+        own = _encoder(model_file, n_best, ROW_BATCH, ROW_WORDS)
+        for run in runs(map(given, batches), limit=ROW_BYTES):
             found = own.segment_all(run.column(1).to_pylist())
             scores = pa.array([[s for s, _ in f] for f in found], pa.list_(pa.float64()))
             columns, names = [run.column(0), _ids([f[0][1] for f in found]), scores], ["row", "ids", "scores"]
@@ -430,17 +459,22 @@ def encode(texts: DataFrame, n_best: int = 1, text: str = "text", model_file: st
 
 
 def decode(rows: DataFrame, ids: str = "ids", model_file: str | None = None) -> DataFrame:
-    """``rows`` with column decoded: the text of the ids (null for null)."""
+    """``rows`` with column decoded: the text of the ids (null for null).
+
+    Only the ids go to Python, and those of one row at a time become Python objects: rows that also hold other
+    segmentations are several times as wide.
+    """
     model_file = model_file or default_model()
-    kept = rows.select(F.struct(*[F.col(f"`{n}`") for n in rows.columns]).alias("row"), F.col(ids).alias("ids"))
+    return rows.select("*", F.arrow_udf(_decoder(model_file), "string")(F.col(ids)).alias("decoded"))
 
-    def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _encoder(model_file, 1).lattice
-        for batch in batches:
-            made = [None if x is None else own.text(x) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.string())], names=["row", "decoded"])
 
-    return kept.mapInArrow(apply, kept.select("row").schema.add("decoded", "string")).select("row.*", "decoded")
+def _decoder(model_file: str):
+    def apply(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        surface = _surface_of(model_file)
+        for column in columns:
+            yield pa.array((_text(surface, x.values.to_numpy(zero_copy_only=False).tolist()) if x.is_valid else None for x in column), pa.string())
+
+    return apply
 
 
 def digests(texts: DataFrame, key: str = "doc_id", n_best: int = 4, text: str = "text", model_file: str | None = None) -> DataFrame:

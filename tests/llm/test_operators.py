@@ -134,6 +134,28 @@ def test_pieces_round_trip(docs, odd, none):
         assert pieces.digests(frame).where("NOT round_trip").count() == 0
 
 
+def test_decoding_sends_only_the_ids(spark):
+    """The other segmentations, several times as wide as the ids, stay with Spark; the worker needs no lattice."""
+    texts = spark.createDataFrame([(1, "the cat sat"), (2, None), (3, "Ⅳx é")], "doc_id bigint, text string")
+    rows = pieces.encode(texts, n_best=4).withColumn("ids", F.when(F.col("doc_id") != 2, F.col("ids")))
+    back = pieces.decode(rows)
+    assert [tuple(r) for r in back.select("doc_id", "decoded").orderBy("doc_id").collect()] == [(1, "the cat sat"), (2, None), (3, "Ⅳx é")]
+    assert back.columns == [*rows.columns, "decoded"]
+    plan = back._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython [apply(ids" in plan and plan.count("MapInArrow") == 1
+    assert re.search(r"AS row#\d+\]\n", plan)  # nor is a text sent beside its row
+    assert pieces._surface_of(pieces.default_model()) == pieces.Lattice(pieces.default_model()).surface
+    assert pieces._text(pieces._surface_of(pieces.default_model()), [pieces.Lattice(pieces.default_model()).bytes[200]]) == "\ufffd"
+
+
+def test_a_small_memory_gives_the_same_segmentations(docs):
+    texts = [r.text for r in docs.collect()]
+    few, many = pieces.Encoder(pieces.default_model(), 4, 7, 300), pieces.Encoder(pieces.default_model(), 4)
+    expected = many.segment_all(texts)
+    assert [found for n in range(0, len(texts), 5) for found in few.segment_all(texts[n : n + 5])] == expected
+    assert len(few.number) < len(many.number)
+
+
 # 3 -------------------------------------------------------------------------------------------------
 
 
