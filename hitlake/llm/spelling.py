@@ -37,6 +37,8 @@ FORM_FACTOR = 5
 EDIT_ONE_IN = 199
 #: Neighbourhood hashes made at once.
 CHUNK = 1 << 18
+#: Nothing that grows with the vocabulary is broadcast: the driver would hold it whole.
+JOIN = "merge"
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)  # odd
@@ -164,8 +166,9 @@ def near_pairs(counts: DataFrame) -> DataFrame:
             yield out()
 
     vocabulary = counts.select("word", "n")
-    made = vocabulary.select("word").mapInArrow(around, "key bigint, word string")
-    found = made.join(vocabulary.mapInArrow(own, "key bigint, near string, near_n bigint"), "key")
+    # Spark sizes what is made here by the compressed file of the words, and would take it for small enough to broadcast.
+    made = vocabulary.select("word").mapInArrow(around, "key bigint, word string").hint(JOIN)
+    found = made.join(vocabulary.mapInArrow(own, "key bigint, near string, near_n bigint").hint(JOIN), "key")
     within = F.abs(F.length("word") - F.length("near")) <= 1
     return found.where((F.col("word") != F.col("near")) & within & (F.levenshtein("word", "near", 1) == 1)).select("word", "near", "near_n").distinct()
 
@@ -184,7 +187,7 @@ def variants(documents: DataFrame, id_column: str = "doc_id", text_column: str =
     counts = spark.read.schema("word string, n bigint").parquet(path)
     best = near_pairs(counts).groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("n"), F.col("near").alias("w"))).alias("best"))
     path = scratch_path(spark, "forms")
-    found = counts.join(best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), "best")
+    found = counts.join(best.hint(JOIN), "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), "best")
     found = found.withColumn("form_n", F.when(-F.col("best.n") >= F.col("n") * factor, -F.col("best.n")))
     found.withColumn("form", F.when(F.col("form_n").isNotNull(), F.col("best.w"))).drop("best").write.parquet(path)
     words = spark.read.schema("word string, n bigint, n_near bigint, form_n bigint, form string").parquet(path)
@@ -193,10 +196,10 @@ def variants(documents: DataFrame, id_column: str = "doc_id", text_column: str =
     for _ in range(6):
         path = scratch_path(spark, "steps")
         after = step.select(F.col("word").alias("to"), F.col("to").alias("next"))
-        step.join(after, "to", "left").select("word", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved")).write.parquet(path)
+        step.join(after.hint(JOIN), "to", "left").select("word", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved")).write.parquet(path)
         step = spark.read.schema("word string, to string, moved boolean").parquet(path)
         if step.where("moved").isEmpty():
             break
         step = step.drop("moved")
     roots = step.select("word", F.col("to").alias("root"))
-    return words.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return words.join(roots.hint(JOIN), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

@@ -175,6 +175,26 @@ def test_variants_of_nothing(spark, odd):
     assert found.columns == ["word", "form", "root", "n", "n_near", "form_n"] and found.count() == 0
 
 
+def test_variants_broadcast_no_words(spark, monkeypatch):
+    """The words' file is small enough to broadcast, what is made of it is not."""
+    drawn = np.random.default_rng(11).integers(97, 123, (2000, 7))
+    words = {bytes(w.tolist()).decode() for w in drawn}
+    texts = [(n, " ".join(words)) for n in range(5)] + [(5, "colours " * 30 + "colour " * 5)]
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+    plans, kind = [], type(frame)
+
+    def joined(*args, join=kind.join, **named):
+        found = join(*args, **named)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(kind, "join", joined)
+    got = sorted(map(tuple, spelling.variants(frame, one_in=0).collect()))
+    assert len(plans) >= 4
+    assert all("SortMergeJoin" in plan and "Broadcast" not in plan for plan in plans)
+    assert got == sorted(brute_variants(texts, one_in=0))
+
+
 # Vector graph --------------------------------------------------------------------------------------
 
 
